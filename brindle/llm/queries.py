@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat_format, mixing, quality_rules, sharding
+from . import chat_format, kdtree, mixing, packing, quality_model, quality_rules, sharding, simhash
 from .common import table
 
 
@@ -16,6 +17,26 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.format_chats(chat_format.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    found = quality_model.score(docs, model)
+    return found.select("doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -25,5 +46,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op9_sharding, op10_mixing)}
-ORACLE_SQL = {"op1_quality_rules": quality_rules.ORACLE, "op2_chat_format": chat_format.ORACLE, "op10_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_simhash, op5_quality_model, op6_packing, op8_kdtree, op9_sharding, op10_mixing)}
+ORACLE_SQL = {"op1_quality_rules": quality_rules.ORACLE, "op2_chat_format": chat_format.ORACLE, "op8_kdtree": kdtree.ORACLE, "op10_mixing": mixing.ORACLE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, kdtree, mixing, packing, quality_model, quality_rules, sharding, simhash
+from . import chat_format, kdtree, mixing, packing, pii, quality_model, quality_rules, secrets, sharding, simhash
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model.train(docs, table(spark, sf_dir, "labels"))
@@ -33,6 +37,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf_dir, "embeddings"))
 
@@ -46,5 +54,5 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_simhash, op5_quality_model, op6_packing, op8_kdtree, op9_sharding, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_simhash, op4_pii, op5_quality_model, op6_packing, op7_secrets, op8_kdtree, op9_sharding, op10_mixing)}
 ORACLE_SQL = {"op1_quality_rules": quality_rules.ORACLE, "op2_chat_format": chat_format.ORACLE, "op8_kdtree": kdtree.ORACLE, "op10_mixing": mixing.ORACLE}

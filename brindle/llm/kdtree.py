@@ -82,7 +82,7 @@ def search(k: int):
                 lo, hi, pts, qs = low.astype(kind), high.astype(kind), v.astype(kind), qv.astype(kind)
                 reach = np.maximum(qs, 0) @ hi.T + np.minimum(qs, 0) @ lo.T
                 first = np.argsort(-reach, axis=1, kind="stable")
-                least = np.iinfo(np.int64).min
+                least = -(1 << 62)  # below every score
                 best = np.full((len(q), k), least)
                 who = np.full((len(q), k), np.iinfo(np.int64).max)
                 tau = tau.copy()

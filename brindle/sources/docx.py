@@ -10,6 +10,8 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 CELL = "row_index int, column_index int, row_span int, column_span int, is_cont boolean, origin_row int, origin_col int, raw_text string"
 BLOCK = f"block_index int, kind string, raw_text string, heading_level int, style_id string, paragraph_index int, table_index int, cells array<struct<{CELL.replace(' int', ':int').replace(' boolean', ':boolean').replace(' string', ':string').replace(', ', ',')}>>"
@@ -105,15 +107,12 @@ def parse_document(content: bytes) -> list[dict]:
     return blocks
 
 
-def _mapper():
+def _mapper(schema):
     parse = parse_document
 
     def run(batches: Iterator):
         import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
 
-        schema = to_arrow_schema(StructType.fromDDL(SCHEMA))
         for b in batches:
             out = []
             for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist(), strict=True):
@@ -129,7 +128,8 @@ def _mapper():
 def read_blocks(spark: SparkSession, root: str) -> DataFrame:
     """One row a block of every ``.docx`` below ``root``; failed files have status ``failed``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.docx").load(root)
-    return files.select("path", "content").mapInArrow(_mapper(), SCHEMA)
+    schema = to_arrow_schema(T.StructType.fromDDL(SCHEMA))
+    return files.select("path", "content").mapInArrow(_mapper(schema), SCHEMA)
 
 
 def cells(blocks: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: computed once, without its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/brindle-{os.getpid()}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

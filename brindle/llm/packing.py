@@ -86,22 +86,23 @@ def combinations(size: int, depth: int) -> list[tuple[int, ...]]:
 
 
 def nnls(a, h, rounds: int = 600):
-    """Non-negative least squares by an active set over the normal equations."""
+    """Non-negative least squares by an active set.
+
+    Only the active columns meet in a solve, so memory is that of ``a``.
+    """
     import numpy as np
 
-    gram, rhs = a.T @ a, a.T @ h
     x = np.zeros(a.shape[1])
     active: list[int] = []
     for _ in range(rounds):
-        gain = rhs - gram @ x
+        gain = a.T @ (h - a[:, active] @ x[active])
         gain[active] = -1
         j = int(gain.argmax())
         if gain[j] <= 1e-6 * max(1.0, float(h.max(initial=0))):
             break
         active.append(j)
         while active:
-            sub = gram[np.ix_(active, active)]
-            s = np.linalg.lstsq(sub, rhs[active], rcond=None)[0]
+            s = np.linalg.lstsq(a[:, active], h, rcond=None)[0]
             if s.min() > 1e-9:
                 x[:] = 0
                 x[active] = s

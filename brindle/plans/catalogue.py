@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import classify, text
-from brindle.operators import matching, quality, selection, sequence
+from brindle.operators import extraction, matching, quality, selection, sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -541,3 +541,82 @@ def incremental_skip(spark, d):
     pages = load(spark, d, "pages")
     old = pages.where("page_id % 3 <> 0").select("url", F.sha2(F.when(F.col("page_id") % 5 == 0, F.concat("html", F.lit(" "))).otherwise(F.col("html")), 256).alias("digest"))
     return quality.stale(pages.select("url", "html"), old, "url", "html")
+
+
+# ---- pieces of extraction flows
+
+
+@query("""SELECT n_nationkey, pair_no::INT AS pair_no, label, value FROM (
+SELECT n_nationkey, 0 AS pair_no, 'name' AS label, n_name AS value FROM nation UNION ALL SELECT n_nationkey, 1, 'region', n_regionkey::VARCHAR FROM nation WHERE n_nationkey % 3 <> 0)""")
+def label_values(spark, d):
+    three = F.array(F.col("n_nationkey").cast("string"), F.lit("name"), F.col("n_name"))
+    four = F.array(F.lit("name"), F.col("n_name"), F.lit(" region"), F.col("n_regionkey").cast("string"))
+    rows = load(spark, d, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 3 == 0, three).otherwise(four).alias("cells"))
+    return extraction.label_values(rows, ["n_nationkey"], "cells")
+
+
+LINES_SQL = "l AS (SELECT doc_id, unnest(string_split(text, '\n')) AS line, unnest(range(len(string_split(text, '\n'))))::INT AS row_no FROM documents)"
+
+
+def _doc_lines(spark, d):
+    return load(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("row_no", "line"))
+
+
+@query(f"""WITH {LINES_SQL}, c AS (SELECT doc_id, row_no, unnest(string_split(line, ' ')) AS cell, unnest(range(len(string_split(line, ' '))))::INT AS col_no FROM l WHERE row_no < 4),
+f AS (SELECT doc_id, row_no, col_no, CASE WHEN contains(cell, 'th') THEN 'first' WHEN contains(cell, 'e') THEN 'second' END AS field FROM c)
+SELECT doc_id, field, arg_min(col_no, row_no * 1000000 + col_no)::INT AS col_no FROM f WHERE field IS NOT NULL GROUP BY 1, 2""")
+def header_columns(spark, d):
+    cells = _doc_lines(spark, d).where("row_no < 4").select("doc_id", "row_no", F.posexplode(F.split("line", " ")).alias("col_no", "cell"))
+    return extraction.header_columns(cells, ["doc_id"], "row_no", "col_no", "cell", [("th", "first"), ("e", "second")])
+
+
+@query("SELECT o_custkey, o_orderkey FROM orders QUALIFY o_orderpriority[1] = min(o_orderpriority[1]) OVER (PARTITION BY o_custkey)")
+def lowest_tier(spark, d):
+    return extraction.lowest_tier(load(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority"), ["o_custkey"], F.substring("o_orderpriority", 1, 1)).select("o_custkey", "o_orderkey")
+
+
+@query(f"""WITH {LINES_SQL}, n AS (SELECT doc_id, count(*) FILTER (contains(line, ':')) AS t, count(*) FILTER (contains(line, ',')) AS r, count(*) FILTER (regexp_matches(line, '[0-9]')) AS m FROM l GROUP BY 1)
+SELECT doc_id, CASE WHEN t = 0 THEN 'no_tables' WHEN r = 0 THEN 'no_rows' WHEN m >= r + 2 THEN 'more_numbered_text' END AS reason FROM n""")
+def fallback_reason(spark, d):
+    counts = _doc_lines(spark, d).groupBy("doc_id").agg(*[F.count_if(F.col("line").rlike(p)).alias(n) for n, p in (("t", ":"), ("r", ","), ("m", "[0-9]"))])
+    return counts.select("doc_id", extraction.fallback_reason(F.col("t"), F.col("r"), F.col("m")).alias("reason"))
+
+
+@query("""WITH n AS (SELECT l_suppkey, count(*) FILTER (l_returnflag = 'R') AS a, count(*) FILTER (l_quantity > 40) AS b, count(*) FILTER (l_discount >= 0.05) AS c FROM lineitem GROUP BY 1)
+SELECT l_suppkey, array_to_string(list_filter([CASE WHEN a >= 20 THEN 'many returns' END, CASE WHEN c >= 30 THEN 'high discounts' END, CASE WHEN b >= 10 THEN 'large orders' END], lambda x: x IS NOT NULL)[1:2], '; ') AS phrases FROM n""")
+def rule_phrases(spark, d):
+    rules = [("many returns", F.col("l_returnflag") == "R", 20, 14), ("large orders", F.col("l_quantity") > 40, 10, 8), ("high discounts", F.col("l_discount") >= 0.05, 30, 9)]
+    return extraction.rule_phrases(load(spark, d, "lineitem"), ["l_suppkey"], rules, 2)
+
+
+@query("""WITH f AS (SELECT user_id, value > 50 AS high, event_type, min(event_id) AS seen FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, high ORDER BY seen, event_type) AS r FROM f),
+l AS (SELECT user_id, high, min(seen) AS head, string_agg(event_type, '/' ORDER BY r) AS t FROM r WHERE r <= 3 GROUP BY 1, 2)
+SELECT user_id, string_agg(high::VARCHAR || ':' || t, '; ' ORDER BY head) AS line FROM l GROUP BY 1""")
+def grouped_tokens(spark, d):
+    x = load(spark, d, "events").select("event_id", "user_id", "event_type", (F.col("value") > 50).alias("high"))
+    return extraction.grouped_tokens(x, ["user_id"], "high", "event_type", ["event_id"], 3)
+
+
+@query("""SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus <> 'F' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 3""")
+def first_fragments(spark, d):
+    x = load(spark, d, "orders")
+    have = x.where("o_totalprice > 400000").select("o_custkey").distinct()
+    return extraction.first_fragments(x.select("o_custkey", "o_orderkey", "o_orderstatus"), ["o_custkey"], ["o_orderkey"], F.col("o_orderstatus") != "F", have).select("o_custkey", "o_orderkey")
+
+
+@query("""SELECT doc_id, len(regexp_extract_all(text, '[0-9]+')) >= 3 AND NOT regexp_matches(text, 'good|poor|fair') AS raw_data FROM documents""")
+def raw_data_reject(spark, d):
+    return load(spark, d, "documents").select("doc_id", extraction.is_raw_data(F.col("text"), "[0-9]+", "good|poor|fair").alias("raw_data"))
+
+
+@query("SELECT page_id, regexp_extract_all(url, '/([a-z0-9-]+)', 1)[-1] AS last_part FROM pages")
+def last_match(spark, d):
+    return load(spark, d, "pages").select("page_id", extraction.last_match(F.col("url"), "/([a-z0-9-]+)").alias("last_part"))
+
+
+@query("""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '[0-9]') THEN list_sum(list_transform(regexp_extract_all(text, '[0-9]{1,9}'), lambda x: x::BIGINT))::BIGINT
+WHEN regexp_matches(text, 'none|no ') THEN 0 END AS stated FROM conversations""")
+def stated_count(spark, d):
+    return load(spark, d, "conversations").select("conv_id", "turn", extraction.stated_count(F.col("text"), "none|no ").alias("stated"))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.functions import classify, text
-from brindle.operators import matching, quality, selection, sequence
+from brindle.operators import extraction, matching, quality, selection, sequence
 from brindle.plans import catalogue
 from brindle.sources import docx, records
 
@@ -174,6 +174,24 @@ def test_incremental_stream(spark, tmp_path):
     assert sorted(r.y for r in spark.read.parquet(out).collect()) == [2 * i for i in range(8)]
 
 
+def test_extraction_pieces(spark):
+    rows = spark.createDataFrame([(1, ["1", "name", "x"]), (2, ["a", "b", " c "]), (3, ["a", "1", "b", None]), (4, ["a"]), (5, ["", "v"]), (6, []), (7, None)], "id int, cells array<string>")
+    got = sorted(tuple(r) for r in extraction.label_values(rows, ["id"], "cells").collect())
+    assert got == [(1, 0, "name", "x"), (2, 0, "b", "c"), (3, 0, "a", "1"), (3, 1, "b", ""), (4, 0, "a", "")]
+
+    cells = spark.createDataFrame([(1, 0, 0, "site"), (1, 1, 1, "where"), (1, 1, 2, "what"), (1, 5, 3, "state"), (2, 0, 0, None), (2, 0, 1, "what")], "t int, r int, c int, x string")
+    heads = extraction.header_columns(cells, ["t"], "r", "c", "x", [("site", "place"), ("where", "place"), ("what", "kind"), ("state", "state")])
+    assert sorted(tuple(r) for r in heads.collect()) == [(1, "kind", 2), (1, "place", 0), (2, "kind", 1)]
+    assert [r.t for r in extraction.complete_tables(heads, ["t"], ["place", "kind"]).collect()] == [1]
+
+    one = spark.createDataFrame([("main 87.5 then ramp none, main 60; ramp 70",), ("nothing",), (None,)], "x string")
+    assert [r.m for r in one.select(extraction.split_scopes(F.col("x"), ["main", "ramp"], "([0-9.]+)").alias("m")).collect()] == [{"main": "87.5", "ramp": "70"}, {}, None]
+    assert [r.n for r in one.select(extraction.stated_count(F.col("x"), "nothing").alias("n")).collect()] == [87 + 5 + 60 + 70, 0, None]
+    maps = one.limit(1).select(extraction.overlay(F.expr("map('a', '1', 'b', '2')"), F.expr("map('a', '9', 'b', ' ', 'c', '3')"), ["a", "b"]).alias("m"), extraction.overlay(F.expr("map('a', '1')"), F.expr("cast(null as map<string,string>)"), ["a"]).alias("k")).first()
+    assert maps.m == {"a": "9", "b": "2"}
+    assert maps.k == {"a": "1"}
+
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 

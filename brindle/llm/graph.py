@@ -29,18 +29,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node on an edge of ``edges(u, v)``; root is the smallest node reachable.
 
-    Alternates large-star and small-star steps until the edges stop changing; each
-    round is written to the shared folder, so a lost executor costs one round at most.
+    Alternates large-star and small-star steps until only stars are left, each around
+    its smallest node; every round is written to the shared folder, so a lost executor
+    costs one round at most.
     """
     now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = None
     for _ in range(max_rounds):
         now = written(_star(_star(now, True), False))
-        # The sum of hashes and the count change while any edge does.
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if _only_stars(now):
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    raise RuntimeError(f"edges still change after {max_rounds} rounds")
+
+
+def _only_stars(edges: DataFrame) -> bool:
+    """Whether every node that hangs on another is on no further edge (u > v)."""
+    ends = edges.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("hangs")), F.struct(F.col("v").alias("node"), F.lit(0).alias("hangs")))))
+    return ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.count("*").alias("n")).where("hangs > 0 AND n > 1").isEmpty()

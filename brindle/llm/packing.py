@@ -30,11 +30,12 @@ from .common import written
 WINDOW, STEP, DEPTH, END = 2048, 8, 3, 1
 
 
-def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, step: int = STEP, end: int = END):
+def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, step: int = STEP, end: int = END, id_bytes: int = 2):
     """An Arrow mapper from rows with ``text`` to ids and the counters that ranks are made of.
 
     The vocabulary holds the ranks of the byte-level BPE model of the same name, which give the
-    same ids several times faster.  Strings of special tokens are ordinary text.
+    same ids several times faster.  Strings of special tokens are ordinary text.  An id that
+    does not fit into ``id_bytes`` is an error.
     """
 
     def run(batches: Iterator):
@@ -54,7 +55,7 @@ def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, st
         for b in batches:
             out = {k: [] for k in ("row", "doc_tokens", "windows_before", "rest", "class", "local", "ids")}
             for t in b.column("text").to_pylist():
-                ids = np.array([*encode(t or ""), end], "<u4")
+                ids = np.array([*encode(t or ""), end], f"<u{id_bytes}")
                 rest = len(ids) % window
                 c = -(-rest // step)
                 for k, v in zip(out, (row, len(ids), windows, rest, c, seen[c], ids.tobytes()), strict=True):
@@ -145,12 +146,15 @@ def plan(counts: dict[int, int], classes: int, depth: int = DEPTH) -> tuple[list
     return runs, sequences
 
 
-def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, step: int = STEP, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, start, length, ids, doc_tokens, sequence_id, offset), one row a piece."""
+def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, step: int = STEP, depth: int = DEPTH, id_bytes: int = 2) -> DataFrame:
+    """(doc_id, start, length, ids, doc_tokens, sequence_id, offset), one row a piece; ids of 4 bytes, little-endian.
+
+    Written and shuffled ids take ``id_bytes``: 2, or 4 for vocabularies of more than 65,536 ids.
+    """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, pid int, row long, doc_tokens long, windows_before long, rest int, class int, local long, ids binary"
-    tokens = written(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tokenize(vocabulary, window, step), schema))
+    tokens = written(docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(tokenize(vocabulary, window, step, id_bytes=id_bytes), schema))
     facts = tokens.select("pid", "row", "doc_tokens", "windows_before", "rest", "class", "local")
     rests = facts.where("rest > 0")
     by_class = {r["class"]: r["n"] for r in rests.groupBy("class").agg(F.count("*").alias("n")).collect()}
@@ -204,5 +208,10 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", window: int
     pieces = combined.unionByName(greedy).unionByName(windows)
     of_doc = pieces.groupBy("pid", "row").agg(F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("p"))
     met = tokens.select("pid", "row", "doc_id", "doc_tokens", "ids").join(of_doc, ["pid", "row"])
-    cuts = F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"), F.substring(F.col("ids"), (p["start"] * 4 + 1).cast("int"), (p["length"] * 4).cast("int")).alias("ids"), p["sequence_id"].alias("sequence_id"), p["offset"].alias("offset")))
+
+    def part(p):
+        ids = F.substring(F.col("ids"), (p["start"] * id_bytes + 1).cast("int"), (p["length"] * id_bytes).cast("int"))
+        return ids if id_bytes == 4 else F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))
+
+    cuts = F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"), part(p).alias("ids"), p["sequence_id"].alias("sequence_id"), p["offset"].alias("offset")))
     return met.select("doc_id", "doc_tokens", F.inline(cuts)).select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")

@@ -70,6 +70,21 @@ def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, st
     return run
 
 
+def widen(id_bytes: int):
+    """An Arrow mapper that turns ``ids`` of ``id_bytes`` bytes each into ids of four."""
+
+    def run(batches: Iterator):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            i = b.schema.get_field_index("ids")
+            ids = [np.frombuffer(x, f"<u{id_bytes}").astype("<u4").tobytes() for x in b.column(i).to_pylist()]
+            yield b.set_column(i, "ids", pa.array(ids, pa.binary()))
+
+    return run
+
+
 def combinations(size: int, depth: int) -> list[tuple[int, ...]]:
     """Descending multisets of at most ``depth`` positive class numbers with the given sum."""
     out: list[tuple[int, ...]] = []
@@ -208,10 +223,6 @@ def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", window: int
     pieces = combined.unionByName(greedy).unionByName(windows)
     of_doc = pieces.groupBy("pid", "row").agg(F.sort_array(F.collect_list(F.struct("start", "length", "sequence_id", "offset"))).alias("p"))
     met = tokens.select("pid", "row", "doc_id", "doc_tokens", "ids").join(of_doc, ["pid", "row"])
-
-    def part(p):
-        ids = F.substring(F.col("ids"), (p["start"] * id_bytes + 1).cast("int"), (p["length"] * id_bytes).cast("int"))
-        return ids if id_bytes == 4 else F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))
-
-    cuts = F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"), part(p).alias("ids"), p["sequence_id"].alias("sequence_id"), p["offset"].alias("offset")))
-    return met.select("doc_id", "doc_tokens", F.inline(cuts)).select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    cuts = F.transform("p", lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"), F.substring(F.col("ids"), (p["start"] * id_bytes + 1).cast("int"), (p["length"] * id_bytes).cast("int")).alias("ids"), p["sequence_id"].alias("sequence_id"), p["offset"].alias("offset")))
+    out = met.select("doc_id", "doc_tokens", F.inline(cuts)).select("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    return out if id_bytes == 4 else out.mapInArrow(widen(id_bytes), out.schema)

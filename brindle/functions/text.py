@@ -96,3 +96,12 @@ def fact_tokens(x: Column) -> Column:
     pairs = lambda t: F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2)))
     out = F.flatten(F.transform(runs, lambda t: F.when(cjk(t), pairs(t)).otherwise(F.array(t))))
     return F.when((F.size(out) == 0) & (x != ""), F.array(x)).otherwise(out)
+
+
+DATE = r"([0-9]{4})\s*[年./-]\s*0?([0-9]{1,2})\s*[月./-]\s*0?([0-9]{1,2})"
+
+
+def normal_date(value: Column) -> Column:
+    """The last date of a text, so the end of a range, without padding; null where there is none."""
+    parts = [F.try_element_at(F.regexp_extract_all(value, F.lit(DATE), F.lit(i)), F.lit(-1)) for i in (1, 2, 3)]
+    return F.concat(parts[0], F.lit("年"), parts[1], F.lit("月"), parts[2], F.lit("日"))

@@ -37,3 +37,17 @@ def coverage(df: DataFrame, key: str, categories: dict[str, Column], by: str) ->
     """How many rows of each group belong to each category, long form, zeros included."""
     counts = F.array(*[F.struct(F.lit(c).alias("category"), F.when(x, 1).otherwise(0).alias("n")) for c, x in categories.items()])
     return df.select(by, F.inline(counts)).groupBy(by, "category").agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_total"))
+
+
+def judge_decisions(candidates: DataFrame, decisions: DataFrame, key: str, allowed: str, evidence: str) -> DataFrame:
+    """(key, status): accepted, unresolved (no decision), or unknown_evidence where it cites what is not allowed."""
+    met = candidates.select(key, allowed).join(decisions.select(key, evidence), key, "left")
+    foreign = F.size(F.array_except(evidence, allowed)) > 0
+    return met.select(key, F.when(F.col(evidence).isNull(), "unresolved").when(foreign, "unknown_evidence").otherwise("accepted").alias("status"))
+
+
+def unsupported_tokens(said: DataFrame, context: DataFrame, keys: list[str], text: str, pattern: str, out: str) -> DataFrame:
+    """Distinct tokens of ``said`` that no row of ``context`` with the same keys has, by an anti-join."""
+    tokens = F.explode(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias(out)
+    known = context.select(*keys, tokens).distinct()
+    return said.select("*", tokens).drop(text).distinct().join(known, [*keys, out], "left_anti")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import classify, text
-from brindle.operators import extraction, matching, quality, selection, sequence
+from brindle.operators import extraction, matching, quality, ranking, selection, sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -620,3 +620,60 @@ def last_match(spark, d):
 WHEN regexp_matches(text, 'none|no ') THEN 0 END AS stated FROM conversations""")
 def stated_count(spark, d):
     return load(spark, d, "conversations").select("conv_id", "turn", extraction.stated_count(F.col("text"), "none|no ").alias("stated"))
+
+
+# ---- ranked picks
+
+
+@query("""WITH b AS (SELECT user_id, event_type, event_id, floor(value)::BIGINT AS rank FROM events WHERE value IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY floor(value), event_id) = 1)
+SELECT user_id, event_type, event_id, rank FROM b QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rank, event_type) <= 3""")
+def best_per_topic(spark, d):
+    return ranking.best_per_topic(load(spark, d, "events"), ["user_id"], "event_type", F.floor("value"), "event_id", 3).select("user_id", "event_type", "event_id", "rank")
+
+
+@query(f"""WITH {SENTENCES_SQL}, r AS (SELECT doc_id, item, item_no FROM s WHERE trim(item) <> '' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(item) DESC, item_no) <= 4)
+SELECT doc_id, md5(string_agg(item, ' | ' ORDER BY item_no)) AS summary_md5, count(*) AS n_items FROM r GROUP BY 1""")
+def top_in_order(spark, d):
+    items = F.filter(F.split("text", "\\. "), lambda x: F.trim(x) != "")
+    x = load(spark, d, "documents").select("doc_id", ranking.top_in_order(items, F.length, 4).alias("top")).where(F.size("top") > 0)
+    return x.select("doc_id", F.md5(F.array_join("top", " | ")).alias("summary_md5"), F.size("top").cast("long").alias("n_items"))
+
+
+@query("""WITH c AS (SELECT o_custkey, o_orderkey, o_orderkey % 4 AS p, o_orderkey % 3 = 0 AS t, o_orderkey % 10 AS n FROM orders), k AS (SELECT * FROM c QUALIFY p = max(p) OVER (PARTITION BY o_custkey))
+SELECT o_custkey, (CASE WHEN bool_and(t) THEN sum(n) ELSE min_by(n, o_orderkey) END)::BIGINT AS count FROM k GROUP BY 1""")
+def leading_count(spark, d):
+    x = load(spark, d, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderkey") % 4).alias("p"), (F.col("o_orderkey") % 3 == 0).alias("t"), (F.col("o_orderkey") % 10).alias("n"))
+    return ranking.leading_count(x, ["o_custkey"], "p", F.col("t"), "n", "o_orderkey")
+
+
+@query("""WITH s AS (SELECT l_orderkey, min(l_discount * 5) AS al, max(l_discount * 5) AS ah, sum(l_discount * 5) AS s1, min(l_tax * 10) AS bl, max(l_tax * 10) AS bh, sum(l_tax * 10) AS s2, min(l_quantity) AS cl, max(l_quantity) AS ch, sum(l_quantity) AS s3 FROM lineitem GROUP BY 1),
+f AS (SELECT l_orderkey, al >= 0 AND ah <= 1 AND abs(s1 - 1) <= 0.02 AS a, bl >= 0 AND bh <= 1 AND abs(s2 - 1) <= 0.02 AS b, cl >= 0 AND ch <= 1 AND abs(s3 - 1) <= 0.02 AS c, ch > 1 AND ch <= 100 AS c_score FROM s)
+SELECT l_orderkey, CASE WHEN a::INT + b::INT + c::INT = 1 THEN CASE WHEN a THEN 'a' WHEN b THEN 'b' ELSE 'c' END END AS weight_column, CASE WHEN c_score THEN 'c' END AS score_column FROM f""")
+def weight_and_score_columns(spark, d):
+    columns = {"a": F.col("l_discount") * 5, "b": F.col("l_tax") * 10, "c": F.col("l_quantity")}
+    return ranking.weight_and_score_columns(load(spark, d, "lineitem"), ["l_orderkey"], columns)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'unresolved' WHEN c_custkey % 3 = 2 THEN 'unknown_evidence' ELSE 'accepted' END AS status FROM customer")
+def judge_decisions(spark, d):
+    c, n = load(spark, d, "customer"), F.col("c_nationkey").cast("long")
+    candidates = c.select("c_custkey", F.array(n, n + 1).alias("allowed"))
+    decisions = c.where("c_custkey % 5 <> 0").select("c_custkey", F.array(n, n + F.col("c_custkey") % 3).alias("evidence"))
+    return quality.judge_decisions(candidates, decisions, "c_custkey", "allowed", "evidence")
+
+
+@query("""WITH t AS (SELECT conv_id, turn, role, unnest(regexp_extract_all(text, '[a-z]{9,}')) AS token FROM conversations)
+SELECT DISTINCT conv_id, turn, token FROM t WHERE role = 'assistant' AND NOT EXISTS (SELECT 1 FROM t u WHERE u.role = 'user' AND u.conv_id = t.conv_id AND u.token = t.token)""")
+def unsupported_tokens(spark, d):
+    c = load(spark, d, "conversations")
+    said = c.where("role = 'assistant'").select("conv_id", "turn", "text")
+    return quality.unsupported_tokens(said, c.where("role = 'user'"), ["conv_id"], "text", "[a-z]{9,}", "token").select("conv_id", "turn", "token")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN year(e) || '年' || month(e) || '月' || day(e) || '日' END AS day
+FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::DATE + 9 ELSE o_orderdate::DATE END AS e FROM orders)""")
+def normal_date(spark, d):
+    day = F.to_date("o_orderdate")
+    one, end = F.date_format(day, "yyyy-MM-dd"), F.date_format(F.date_add(day, 9), "yyyy年MM月dd日")
+    stated = F.when(F.col("o_orderkey") % 7 == 0, "none").when(F.col("o_orderkey") % 2 == 0, F.concat(one, F.lit(" - "), end)).otherwise(one)
+    return load(spark, d, "orders").select("o_orderkey", text.normal_date(stated).alias("day"))

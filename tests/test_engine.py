@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.functions import classify, text
-from brindle.operators import extraction, matching, quality, selection, sequence
+from brindle.operators import extraction, matching, quality, ranking, selection, sequence
 from brindle.plans import catalogue
 from brindle.sources import docx, records
 
@@ -213,3 +213,14 @@ def test_query(spark, sf_dir, name):
     assert order == sorted(want.columns)
     shape = lambda rows, cols: sorted(repr([r[cols.index(c)] for c in order]) for r in rows)
     assert shape(got, df.columns) == shape(want.fetchall(), want.columns)
+
+
+def test_ranked_picks_edges(spark):
+    items = spark.createDataFrame([(1, ["aa", "b", "cc", "d"]), (2, []), (3, None)], "id int, items array<string>")
+    got = {r.id: r.top for r in items.select("id", ranking.top_in_order(F.col("items"), F.length, 2).alias("top")).collect()}
+    assert got == {1: ["aa", "cc"], 2: [], 3: None}
+    dates = spark.createDataFrame([("2024年03月05日",), ("2024.3.1 - 2024.03.10",), ("none",), (None,)], "d string")
+    assert [r[0] for r in dates.select(text.normal_date(F.col("d"))).collect()] == ["2024年3月5日", "2024年3月10日", None, None]
+    rows = spark.createDataFrame([(1, "t", None, 1), (1, "t", 3, 2), (1, "t", 3, 1)], "k int, topic string, r int, id int")
+    assert [tuple(r) for r in ranking.best_per_topic(rows, ["k"], "topic", F.col("r"), "id", 3).collect()] == [(1, "t", 1, 3)]
+    assert ranking.leading_count(rows.limit(0), ["k"], "r", F.lit(True), "id", "id").count() == 0

@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from brindle.llm import chat_format, kdtree, mixing, packing, pii, quality_model, quality_rules, secrets, sharding, simhash
 from brindle.llm.graph import components
 
@@ -222,6 +223,44 @@ def test_simhash_keeps_one(spark, docs):
     assert simhash.near_duplicates(empty(docs)).count() == 0 and simhash.keep_one(empty(docs)).count() == 0
 
 
+def shingle_set(text: str | None, width: int = 5) -> frozenset:
+    ws = [w.lower() for w in WORD.findall(text or "")]
+    return frozenset(tuple(ws[i : i + width]) for i in range(max(1, len(ws) - width + 1))) if ws else frozenset()
+
+
+def test_keep_one_reaches_five_word_similarity(spark):
+    """Near copies at 0.8 and more, 6 to 13 bits apart included, go; those below stay; other columns stay as they are."""
+    r, rows = random.Random(21), []
+    for k in range(60):
+        ws = [f"w{r.randrange(5000)}" for _ in range(r.choice([40, 120, 300]))]
+        rows.append((k, " ".join(ws)))
+        for j in range(3):
+            x = list(ws)
+            for at in r.sample(range(len(x)), max(1, len(x) * r.randint(1, 6) // 100)):
+                x[at] = f"z{r.randrange(5000)}"
+            rows.append((1000 + 10 * k + j, " ".join(x)))
+    rows += [(5000, None), (5001, " "), (5002, "one two"), (5003, "ONE  two"), (5004, "one three")]
+    sets = [shingle_set(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    far = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or sets[i] and sets[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8:
+                up[max(top(i), top(j))] = min(top(i), top(j))
+                far += (plain_fp(rows[i][1]) ^ plain_fp(rows[j][1])).bit_count() > 4
+    assert far > 20
+    df = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, _row long").withColumn("fp", F.lit(8))
+    got = corpus_pipeline.drop_near_duplicates(spark, df, "").collect()
+    assert sorted(x.doc_id for x in got) == sorted(rows[i][0] for i in range(len(rows)) if top(i) == i)
+    assert {(x._row, x.fp) for x in got} == {(7, 8)}
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(200).selectExpr("id + 1 AS u", "id AS v")
     assert {r.root for r in components(edges).collect()} == {0}

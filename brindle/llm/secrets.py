@@ -2,7 +2,7 @@
 
 Candidates are long runs of token characters and private-key blocks.  Length,
 character transitions, digit and hex shares, dictionary coverage, path marks and
-neighbouring words describe each one.  A forest grown from labelled findings judges
+the words within 48 characters on either side, other candidates included, describe each one.  A forest grown from labelled findings judges
 them; its trees are compiled into one SQL expression, so scanning is a single projection of
 built-in expressions without any shuffle.
 
@@ -36,6 +36,8 @@ DICTIONARY = (
 ).split()
 SECRET_NAMES = r"(?i)(token|secret|api[_-]?key|apikey|passw|pwd|auth|bearer|credential|private[_-]?key|access[_-]?key|\bkey)"
 HASH_NAMES = r"(?i)(commit|sha-?1|sha-?256|md5|checksum|digest|uuid|guid|revision|integrity|etag|hash|fingerprint|example|sample)"
+#: Names that are candidates themselves.
+LONG_NAMES = ("AWS_SECRET_ACCESS_KEY", "aws_secret_access_key", "GITHUB_ACCESS_TOKEN", "database_password", "STRIPE_SECRET_API_KEY", "oauth_client_secret", "service-account-private-key")
 KNOWN = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_|xox[abprs]-|sk-|sk_live_|glpat-|AIza|eyJ|-----BEGIN)"
 
 
@@ -59,13 +61,14 @@ def features(left: Column, value: Column, right: Column) -> Column:
         "path": yes(value.rlike("/[^/]+/|\\.[a-z]{2,4}$") | left.rlike("(://|/|@)[^ ]{0,20}$")),
         "assigned": yes(left.rlike("[=:]\\s{0,2}[\"'`]?$")),
         "secret_name": yes(left.rlike(SECRET_NAMES)),
+        "named": yes(left.rlike(SECRET_NAMES + "[A-Za-z0-9_-]{0,24}[\"'`]?\\s{0,2}[=:]\\s{0,2}[\"'`]?$")),
         "hash_name": yes(left.rlike(HASH_NAMES) | right.rlike(HASH_NAMES)),
         "known": yes(value.rlike(KNOWN)),
     }
     return F.struct(*[c.alias(k) for k, c in cols.items()])
 
 
-NAMES = ("length", "transitions", "digits", "upper", "hexadecimal", "distinct", "dictionary", "vowels", "marks", "path", "assigned", "secret_name", "hash_name", "known")
+NAMES = ("length", "transitions", "digits", "upper", "hexadecimal", "distinct", "dictionary", "vowels", "marks", "path", "assigned", "secret_name", "named", "hash_name", "known")
 
 
 def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
@@ -79,8 +82,12 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
     out = []
     for i in range(n):
         before, after = prose(), prose()
+        if r.random() < 0.2:  # a finding close by, which is none of this one's business
+            before = r.choice(["token", "password", *LONG_NAMES, "commit", "sha256"]) + r.choice(["=", ": ", ' = "']) + pick(alnum, r.randint(16, 30)) + r.choice([" ", "\n", '" ', ", "]) + before
+        elif r.random() < 0.1:
+            before += " " + word(2) + "." + str(r.randint(1, 99)) + "@mail.example.com " + word(1)
         if i % 2:
-            name = r.choice(["token", "secret", "api_key", "password", "auth_token", "access_key", "AWS_SECRET", "client_secret", "key", "bearer"])
+            name = r.choice(["token", "secret", "api_key", "password", "auth_token", "access_key", "AWS_SECRET", "client_secret", "key", "bearer", *LONG_NAMES])
             value = r.choice([
                 lambda: pick("0123456789abcdef", r.choice([32, 40, 64])),
                 lambda: pick(alnum, r.randint(20, 60)),
@@ -104,6 +111,7 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
                 lambda: (pick("0123456789", r.randint(16, 22)), ""),
                 lambda: (r.choice("-_.x*0") * r.randint(16, 60), r.choice(["", "token = ", "password: "])),
                 lambda: (".".join(str(r.randint(0, 99)) for _ in range(7)) + "-SNAPSHOT", "version "),
+                lambda: (r.choice(LONG_NAMES) + r.choice(["", "="]), ""),
                 lambda: (word(2) + "." + str(r.randint(1, 99)) + "@mail.example.com".replace("@", "."), ""),
             ])()
             out.append({"left": (before + " " + name)[-NEAR:], "value": (value + "x" * 16)[: max(16, len(value))] if len(value) < 16 else value, "right": after[:NEAR], "y": 0})
@@ -169,9 +177,16 @@ def scan(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) ->
     pattern = F.lit(CANDIDATE)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
 
-    def judge(v: Column, i: Column, gaps: Column) -> Column:
-        left, right = F.get(gaps, i), F.get(gaps, i + 1)
-        return let(features(F.right(left, F.lit(NEAR)), v, F.left(right, F.lit(NEAR))), lambda f: F.struct(F.length(left).cast("long").alias("gap"), F.length(v).cast("long").alias("n"), compile_forest(forest, f).alias("score")))
+    def judge(v: Column, i: Column, gaps: Column, before: Column, after: Column) -> Column:
+        # A candidate with the gap beside it has six characters or more on average, so eight of them reach over NEAR.
+        left = F.concat(F.array_join(F.slice(before, F.greatest(i - 7, F.lit(1)), F.least(i, F.lit(8))), ""), F.get(gaps, i))
+        right = F.concat(F.get(gaps, i + 1), F.array_join(F.slice(after, i + 2, 8), ""))
+        return let(features(F.right(left, F.lit(NEAR)), v, F.left(right, F.lit(NEAR))), lambda f: F.struct(F.length(F.get(gaps, i)).cast("long").alias("gap"), F.length(v).cast("long").alias("n"), compile_forest(forest, f).alias("score")))
+
+    def judged_all(m: Column, gaps: Column) -> Column:
+        before = F.transform(m, lambda v, i: F.right(F.concat(F.get(gaps, i), v), F.lit(NEAR)))
+        after = F.transform(m, lambda v, i: F.left(F.concat(v, F.get(gaps, i + 1)), F.lit(NEAR)))
+        return let(F.struct(before.alias("before"), after.alias("after")), lambda c: F.transform(m, lambda v, i: judge(v, i, gaps, c["before"], c["after"])))
 
     def place(judged: Column) -> Column:
         none = F.array().cast("array<struct<start:bigint,end:bigint,score:double>>")
@@ -188,7 +203,7 @@ def scan(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) ->
                 clean = F.array_join(F.transform(judged, lambda j, i: F.concat(F.get(gaps, i), F.when(j["score"] >= threshold, F.lit(MASK)).otherwise(F.get(m, i)))), "")
                 return F.struct(place(judged).alias("findings"), F.concat(clean, F.element_at(gaps, -1)).alias("redacted"))
 
-            return let(F.transform(m, lambda v, i: judge(v, i, gaps)), result)
+            return let(judged_all(m, gaps), result)
 
         return let(F.split(text, CANDIDATE), of)
 

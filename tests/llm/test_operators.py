@@ -443,6 +443,31 @@ def test_secrets(spark, docs):
     assert secrets.summary(secrets.scan(docs, forest)).count() == docs.count()
 
 
+def test_secrets_after_long_names(spark):
+    """A name of 16 characters or more is a candidate itself, and still the name of the value after it."""
+    r = random.Random(5)
+    value = lambda k, chars="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": "".join(r.choice(chars) for _ in range(k))
+    rows, heads = [], ["AWS_SECRET_ACCESS_KEY=", 'aws_secret_access_key = "', "the DATABASE_MASTER_PASSWORD: ", "export INTERNAL_SERVICE_TOKEN='", "x GITHUB_ACCESS_TOKEN="]
+    for i in range(40):
+        rows.append((i, heads[i % 5], value(40) if i % 2 else value(40, "0123456789abcdef")))
+    df = spark.createDataFrame([(i, a + v + " end") for i, a, v in rows], "doc_id long, text string")
+    got = {x.doc_id: x.redacted for x in secrets.scan(df).collect()}
+    assert {i: got[i] for i, _, _ in rows} == {i: a + "<secret> end" for i, a, _ in rows}
+
+
+@pytest.mark.parametrize("k", [1, 4, 12])
+def test_context_reaches_over_candidates(spark, monkeypatch, k):
+    """The context of a candidate is the 48 characters beside it, whatever lies in them."""
+    seen = lambda left, v, right: F.struct(left.alias("l"), right.alias("r"))
+    monkeypatch.setattr(secrets, "features", seen)
+    monkeypatch.setattr(secrets, "compile_forest", lambda forest, f: F.when((f["l"] == F.lit(want[0])) & (f["r"] == F.lit(want[1])), 1.0).otherwise(0.0))
+    text = "é" + " ".join(chr(97 + i) * 16 for i in range(k)) + " middle_of_the_text_ " + "=".join(chr(65 + i) * 17 for i in range(k))
+    at = text.index("middle")
+    want = (text[max(0, at - 48) : at], text[at + len("middle_of_the_text_") :][:48])
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["forest"]).first().findings
+    assert [f.start for f in got if f.score == 1.0] == [at]
+
+
 def test_forest_on_new_findings(spark):
     import json
 

@@ -1,6 +1,6 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are long runs of token characters and private-key blocks.  Length,
+Candidates are long runs of token characters, private-key blocks, and shorter values directly after a secret name.  Length,
 character transitions, digit and hex shares, dictionary coverage, path marks and
 the words within 48 characters on either side, other candidates included, describe each one.  A forest grown from labelled findings judges
 them; its trees are compiled into one SQL expression, so scanning is a single projection of
@@ -25,7 +25,16 @@ from pyspark.sql import functions as F
 
 from .common import let
 
-CANDIDATE = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]{1,20000}-----END [A-Z ]{0,30}PRIVATE KEY-----|[A-Za-z0-9+/_.~-]{16,}+={0,2}"
+#: From a BEGIN line to the END line before any other BEGIN or END: headers, BLOCK forms and any length (possessive, so no recursion).
+KEY_BLOCK = r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----[^-]*+(?:-(?!----(?:BEGIN|END) )[^-]*+)*+-----END [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----"
+CANDIDATE = KEY_BLOCK + r"|[A-Za-z0-9+/_.~-]{16,}+={0,2}"
+#: Values of any length directly after a secret name, in quotes or up to a blank; the first look back is the cheap one.
+AFTER_NAME = (
+    r"(?<=[=:\s\"'`])(?<=[=:]\s{0,2}[\"'`]?)"
+    r"(?<=(?i:token|secret|key|passwd|password|passphrase|pwd|auth|bearer|credentials?)[A-Za-z0-9_-]{0,24}[\"'`]?\s{0,2}[=:]\s{0,2}[\"'`]?)"
+    r"[^\s\"'`,;<>=:][^\s\"'`,;<>]{3,}+"
+)
+SCANNED = CANDIDATE + "|" + AFTER_NAME
 MASK = "<secret>"
 NEAR = 48
 
@@ -93,8 +102,15 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
                 lambda: pick(alnum, r.randint(20, 60)),
                 lambda: base64.b64encode(r.randbytes(r.choice([18, 24, 30, 48]))).decode(),
                 lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16),
+                lambda: "".join(r.sample(pick(alnum, 6) + pick("0123456789", 3) + pick("!#$%&*+?@^_-", 2), r.randint(7, 11))),
                 lambda: r.choice(["ghp_", "sk-", "xoxb-", "glpat-"]) + pick(alnum, r.randint(20, 40)),
             ])()
+            if r.random() < 0.12:
+                kind = r.choice(["RSA PRIVATE KEY", "EC PRIVATE KEY", "PRIVATE KEY", "OPENSSH PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "PGP PRIVATE KEY BLOCK"])
+                head = r.choice(["", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + pick("0123456789ABCDEF", 32) + "\n\n", "Version: GnuPG v2\n\n"])
+                lines = "\n".join(pick(alnum + "+/", 64) for _ in range(r.randint(1, 24)))
+                out.append({"left": before[-NEAR:], "value": f"-----BEGIN {kind}-----\n{head}{lines}\n-----END {kind}-----", "right": after[:NEAR], "y": 1})
+                continue
             if r.random() < 0.85 or not value.startswith(("AKIA", "ghp_", "sk-", "xoxb-", "glpat-")):
                 before += " " + name + r.choice([" = ", "=", ": ", ' = "', "='", ":", ' "'])
             out.append({"left": before[-NEAR:], "value": value, "right": after[:NEAR], "y": 1})
@@ -112,9 +128,11 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
                 lambda: (r.choice("-_.x*0") * r.randint(16, 60), r.choice(["", "token = ", "password: "])),
                 lambda: (".".join(str(r.randint(0, 99)) for _ in range(7)) + "-SNAPSHOT", "version "),
                 lambda: (r.choice(LONG_NAMES) + r.choice(["", "="]), ""),
+                lambda: (word(r.randint(2, 5)), r.choice(["token: ", "key: ", "password: ", "secret = ", "auth: ", "key=", 'password = "'])),
+                lambda: (r.choice(["string", "None", "null", "true", "false", "required", "hidden", "value", "example", "changeme", "os.environ", "config.key", "12345"]), r.choice(["token: ", "key: ", "password: ", "secret = ", "key=", 'password = "'])),
                 lambda: (word(2) + "." + str(r.randint(1, 99)) + "@mail.example.com".replace("@", "."), ""),
             ])()
-            out.append({"left": (before + " " + name)[-NEAR:], "value": (value + "x" * 16)[: max(16, len(value))] if len(value) < 16 else value, "right": after[:NEAR], "y": 0})
+            out.append({"left": (before + " " + name)[-NEAR:], "value": value + "x" * max(0, 16 - len(value)) if not name else value, "right": after[:NEAR], "y": 0})
     return out
 
 
@@ -174,7 +192,7 @@ def scan(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) ->
     """``docs`` with ``findings``, an array of (start, end, score) of all candidates, and ``redacted``."""
     forest = forest or train(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    pattern = F.lit(CANDIDATE)
+    pattern = F.lit(SCANNED)
     found = F.regexp_extract_all(text, pattern, F.lit(0))
 
     def judge(v: Column, i: Column, gaps: Column, before: Column, after: Column) -> Column:
@@ -205,7 +223,7 @@ def scan(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) ->
 
             return let(judged_all(m, gaps), result)
 
-        return let(F.split(text, CANDIDATE), of)
+        return let(F.split(text, SCANNED), of)
 
     empty = F.struct(F.array().cast("array<struct<start:bigint,end:bigint,score:double>>").alias("findings"), F.col("text").cast("string").alias("redacted"))
     out = docs.withColumn("_scan", let(found, lambda m: F.when(F.size(m) == 0, empty).otherwise(both(m))))

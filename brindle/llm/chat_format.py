@@ -3,8 +3,8 @@
 A layout is a record schema with a declarative mapping to canonical turns.  The
 fingerprint of a schema is the SHA-256 of its sorted nested field paths, so the
 order of fields does not matter; a record is mapped by the layout whose
-fingerprint its own schema has.  JSON records carry their layout row by row: the
-fingerprint is then taken from each record's own shape.
+fingerprint its own schema has.  JSON records carry their layout row by row: each takes
+the layout whose paths it has, whatever types or further fields there are.
 
 The template marks turns and escapes its marks inside roles and texts with a
 backslash, reversibly.  Everything is made of built-in expressions.
@@ -85,23 +85,39 @@ def canonical(df: DataFrame, fields: list[str], layouts: tuple[Layout, ...] = LA
 def canonical_json(df: DataFrame, column: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Records as JSON text: each row's own nested paths choose its mapping.
 
-    The shape that the engine reports for a record lists the fields of an object by
-    name, so its hash stands for the sorted paths; each layout is known by the shape
-    that its fields would give.
+    A layout fits where the record has all its paths; further fields do not matter, nor do
+    types, and a null or an empty array stands for any paths below it.  Of several
+    layouts the one with most paths is taken, then the first.
     """
-    shape = F.schema_of_variant(F.try_parse_json(F.col(column)))
-    out = F.array().cast(TURNS)
-    for x in layouts:
+    keys = "map_keys(try_variant_get(_v, '$', 'map<string,variant>'))"
+    df = df.withColumn("_v", F.try_parse_json(F.col(column)))
+    turns, found = F.array().cast(TURNS), F.sha2(F.array_join(F.array_sort(F.expr(keys)), "\n"), 256)
+    # The last case wraps the others, so it comes first.
+    for x in sorted(reversed(layouts), key=lambda x: len(paths(T.StructType.fromDDL(x.schema)))):
         schema = T.StructType.fromDDL(x.schema)
-        record = F.from_json(F.col(column), schema)
+        name = f"_r_{x.fingerprint[:8]}"
+        fits = F.lit(True)
+        for f in schema.fields:
+            fits &= F.coalesce(F.expr(f"array_contains({keys}, '{f.name}')"), F.lit(False))
+            if isinstance(f.dataType, T.ArrayType):
+                fits &= _holds(f)
+        df = df.withColumn(name, F.when(fits, F.from_json(F.col(column), schema)))
         # One alias per field, so that the mapping's names resolve inside the record.
         expr = x.turns
-        df = df.withColumn(f"_r_{x.fingerprint[:8]}", F.when(F.sha2(shape, 256) == hashlib.sha256(_shape(schema).encode()).hexdigest(), record))
         for f in schema.fieldNames():
-            expr = _qualify(expr, f, f"_r_{x.fingerprint[:8]}")
-        out = F.when(F.col(f"_r_{x.fingerprint[:8]}").isNotNull(), F.expr(expr).cast(TURNS)).otherwise(out)
-    df = df.withColumn("fingerprint", F.sha2(shape, 256)).withColumn("turns_out", out)
-    return df.drop(*[f"_r_{x.fingerprint[:8]}" for x in layouts])
+            expr = _qualify(expr, f, name)
+        turns = F.when(F.col(name).isNotNull(), F.coalesce(F.expr(expr).cast(TURNS), F.array().cast(TURNS))).otherwise(turns)
+        found = F.when(F.col(name).isNotNull(), F.lit(x.fingerprint)).otherwise(found)
+    df = df.withColumn("fingerprint", found).withColumn("turns_out", turns)
+    return df.drop("_v", *[f"_r_{x.fingerprint[:8]}" for x in layouts])
+
+
+def _holds(field: T.StructField) -> Column:
+    """Whether the array of objects in ``field`` of ``_v`` has all the layout's fields; null and empty ones do."""
+    rows = f"filter(try_variant_get(_v, '$.{field.name}', 'array<map<string,variant>>'), x -> x IS NOT NULL)"
+    named = "array(" + ", ".join(f"'{n}'" for n in field.dataType.elementType.fieldNames()) + ")"
+    missing = f"size(array_except({named}, flatten(transform({rows}, x -> map_keys(x))))) = 0"
+    return F.expr(f"coalesce(is_variant_null(variant_get(_v, '$.{field.name}', 'variant')), false) OR coalesce(size({rows}) = 0 OR {missing}, false)")
 
 
 def _qualify(expr: str, name: str, record: str) -> str:
@@ -110,14 +126,6 @@ def _qualify(expr: str, name: str, record: str) -> str:
     return re.sub(rf"(?<![\w.'`]){name}(?![\w'`])", f"{record}.{name}", expr)
 
 
-def _shape(kind: T.DataType) -> str:
-    if isinstance(kind, T.StructType):
-        return "OBJECT<" + ", ".join(f"{f.name}: {_shape(f.dataType)}" for f in sorted(kind.fields, key=lambda f: f.name)) + ">"
-    if isinstance(kind, T.ArrayType):
-        return f"ARRAY<{_shape(kind.elementType)}>"
-    return kind.simpleString().upper()
-
-
 def escape(x: Column) -> Column:
     """No mark of the template can begin inside an escaped text; ``unescape`` gives the text back."""
     return F.replace(F.replace(F.coalesce(x, F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("<|"), F.lit("<\\|"))

@@ -132,6 +132,46 @@ def test_fingerprint_ignores_field_order():
     assert chat_format.fingerprint(a) == chat_format.fingerprint(b) != chat_format.fingerprint(T.StructType.fromDDL("prompt STRING, answer STRING"))
 
 
+_ROWS = {"turns": ("turn", "role", "text"), "messages": ("role", "content"), "conversations": ("from", "value")}
+
+
+@pytest.mark.parametrize("layout", chat_format.LAYOUTS, ids=lambda x: x.name)
+def test_chat_json_nulls_and_extra_fields(spark, layout):
+    """A null in any field, an empty or null array and fields that no mapping uses leave the layout as it is."""
+    import json
+
+    name = layout.schema.split()[0]
+    if name in _ROWS:
+        fields = _ROWS[name]
+        full = {name: [{f: 1 if f == "turn" else f"{f}é" for f in fields}, {f: 2 if f == "turn" else f"{f}2" for f in fields}]}
+        cases = [(full, 2), ({name: []}, 0), ({name: None}, 0)]
+        for f in fields:
+            cases.append(({name: [full[name][0], {**full[name][1], f: None}]}, 2))
+            cases.append(({name: [{k: v for k, v in full[name][0].items() if k != f}, full[name][1]]}, 2))
+        cases.append(({name: [{**x, "weight": {"a": 1}} for x in full[name]]}, 2))
+        says = lambda rec: sorted(x.get(fields[-1]) or "" for x in rec[name] or [])
+    else:
+        fields = [f.split()[0] for f in layout.schema.split(", ")]
+        full = {f: f"{f}é" for f in fields}
+        cases = [(full, len(fields))] + [({**full, f: None}, 0) for f in fields] + [({**full, fields[0]: 5}, 0)]
+        says = lambda rec: sorted([str(v) for v in rec.values() if v is not None])
+    rows = []
+    for rec, _ in cases:
+        rows += [rec, {"id": 7, **rec, "meta": {"x": [1]}}]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "i long, raw string")
+    got = {r.i: r for r in chat_format.canonical_json(df, "raw").collect()}
+    for i, rec in enumerate(rows):
+        assert got[i].fingerprint == layout.fingerprint, rec
+        mine = {k: v for k, v in rec.items() if k not in ("id", "meta")}
+        texts = sorted(t.text or "" for t in got[i].turns_out)
+        assert texts == says(mine) if name in _ROWS else all(x in "\n".join(texts) for x in says(mine)), rec
+
+
+@pytest.mark.parametrize("raw", ['{"prompt": "a"}', '{"messages": "hi"}', '{"messages": [{"from": "a", "value": "b"}]}', "[1]", "no json", None])
+def test_chat_json_unknown(spark, raw):
+    assert chat_format.canonical_json(spark.createDataFrame([(raw,)], "raw string"), "raw").first().turns_out == []
+
+
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.format_chats(df).count() == 0

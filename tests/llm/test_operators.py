@@ -535,15 +535,20 @@ def test_forest_on_new_findings(spark):
 
 
 def plain_top(rows, every=50, k=5):
+    """Every pair of rows, in integers; a score beyond 64 bits is None."""
     import math
 
-    fine = sorted({(i, tuple(math.floor(256 * float(x)) for x in v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)})
+    fine = [(n, i, [math.floor(256 * float(x)) for x in v]) for n, (i, v) in enumerate(rows) if i is not None and v and all(x is not None and math.isfinite(256 * float(x)) for x in v)]
     out = []
-    for q, a in fine:
+    for n, q, a in fine:
         if q % every == 0:
-            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in fine if i != q and len(a) == len(b))
-            out += [(q, n + 1, i, -sc) for n, (sc, i) in enumerate(s[:k])]
-    return sorted(out)
+            s = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, i, b in fine if m != n and len(a) == len(b))
+            out += [(q, r + 1, i, -sc if -(1 << 63) <= -sc < 1 << 63 else None) for r, (sc, i) in enumerate(s[:k])]
+    return sorted(out, key=repr)
+
+
+def found_top(df):
+    return sorted((tuple(x) for x in kdtree.top_k(df).collect()), key=repr)
 
 
 @pytest.mark.parametrize("rows_per_shard", [64, 100000])
@@ -552,15 +557,51 @@ def test_search(spark, monkeypatch, rows_per_shard):
     rows = [(i, [r.gauss(0, 1) for _ in range(8)]) for i in range(400)]
     rows += [(i, [0.5] * 8) for i in range(400, 560)]  # ties
     rows += [(1000, None), (1001, []), (1002, [None] * 8), (1003, [float("nan")] * 8), (1004, [float("inf")] * 8), (None, [1.0] * 8), (400, [0.5] * 8), (1050, [1.0, 2.0]), (1051, [3.0, 1.0]), (1100, [1.0] * 3)]
+    rows += [(1150, [2.0] * 8)] * 3 + [(7, [1.5] * 8)] * 2 + [(1200, [-1.0] * 8)] * 2  # repeated rows: candidates of each other, and lists of their own
     monkeypatch.setattr(kdtree, "SHARD_ROWS", rows_per_shard)
+    monkeypatch.setattr(kdtree, "LEAST_ROWS", rows_per_shard)
     monkeypatch.setattr(kdtree, "BLOCK_ROWS", 5)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     stored = [(x.vec_id, x.embedding) for x in df.collect()]
-    got = kdtree.top_k(df.withColumn("label", F.lit(1)).withColumn("rank", F.lit(0)))
-    assert sorted(tuple(x) for x in got.collect()) == plain_top(stored)
+    assert found_top(df.withColumns({c: F.lit(1) for c in ("label", "rank", "row", "id", "v", "a.b", "dim", "tau")})) == plain_top(stored)
     assert kdtree.top_k(df.where("1 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e5, 1e6, 9e14, 1e15, 2e15, 1e30, 1e300])
+def test_search_large_components(spark, monkeypatch, size):
+    """Sums beyond 2 ** 53 and 2 ** 63, and components beyond both, rank exactly."""
+    monkeypatch.setattr(kdtree, "SHARD_ROWS", 40)
+    monkeypatch.setattr(kdtree, "LEAST_ROWS", 40)
+    r = random.Random(3)
+    rows = [(i, [r.choice([-size, size, size / 3, 1.0, 0.0]), r.choice([1.0, size, -2.5]), r.gauss(0, size)]) for i in range(120)] + [(0, [size] * 3), (1, [2 * size, 1.0, 0.0]), (2, [size] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found_top(df)
+    assert got == plain_top(rows)
+    assert (None in [s for *_, s in got]) == (size >= 9e14)
+
+
+def test_search_walks_the_tree(spark):
+    """A walk visits a small part of the tree's leaves where the boxes tell the points apart, and no leaf twice."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+
+    g = np.random.default_rng(4)
+    v = np.floor(g.normal(size=(8192, 3)) * 256)
+    table = pa.table({"id": np.arange(8192), "row": np.arange(8192), "v": pa.array(list(v))})
+    tree = pickle.loads(kdtree.build_tree(32)((pa.scalar(3), pa.scalar(0)), table).column("tree")[0].as_py())
+    nodes, child = tree[3], tree[4]
+    leaves = sum(c == 0 for c in child)
+    assert len(child) == 2 * leaves - 1 and sorted(b - a for (a, b), c in zip(nodes, child) if c == 0)[-1] <= 32
+    best, visited, scored = kdtree.walk(tree, (np.arange(100), v[:100], [None] * 100), 5)
+    assert scored < visited < 100 * leaves / 5
+    for i, found in enumerate(best):
+        s = v @ v[i]
+        s[i] = -np.inf
+        assert [x for x, _ in reversed(found)] == sorted(s, reverse=True)[:5]
+
+
 # ---- sharding
 
 

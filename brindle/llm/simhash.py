@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import hot_join, written
 from .graph import components
 
 WIDTH, DISTANCE = 4, 4
@@ -122,13 +122,13 @@ def close_stars(nodes: DataFrame) -> DataFrame:
     """Edges to the smallest fingerprint that agrees in all but one of 16 nibbles: at most 4 bits apart."""
     keys = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_long(~(15 << 4 * i) & (1 << 64) - 1))).alias("k")) for i in range(16)]))
     keyed = nodes.select("fp", keys.alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return keyed.join(hubs, "key").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+    hubs = keyed.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1")
+    return hot_join(keyed, hubs, "key", "n", 16 * nodes.count()).where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
 
 
 def cluster(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(fp, component_id) for a written table (doc_id, fp)."""
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id")))
+    """(fp, n, component_id) for a written table (doc_id, fp); n is the number of rows of a fingerprint."""
+    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")))
     edges = None
     together = None
     if distance >= 4:
@@ -136,25 +136,25 @@ def cluster(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
         edges = together.select(F.col("fp").alias("u"), F.col("root").alias("v"))
     more = links(nodes, distance, together)
     roots = components(more if edges is None else edges.unionByName(more))
-    labelled = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "doc_id", F.coalesce("root", "fp").alias("root"))
-    low = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return labelled.join(low, "root").select("fp", "component_id")
+    labelled = written(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "n", "doc_id", F.coalesce("root", "fp").alias("root")))
+    low = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
+    return hot_join(labelled, low, "root", "members", labelled.count()).select("fp", "n", "component_id")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``."""
+    """(doc_id, fingerprint, component_id) for every row of ``docs``, whatever further columns it has."""
     fps = written(fingerprints(docs.select("doc_id", "text"), width))
-    return fps.join(cluster(fps, distance), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    met = hot_join(fps, cluster(fps, distance), "fp", "n", fps.count())
+    return met.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` less all but one of every component: the smallest id (nulls last) stays.
 
-    Among rows of one id the first stays.
+    Among rows of one id the first stays; columns may have any names.
     """
-    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_text": F.col("text")})
-    whole = written(fingerprints(rows, width))
-    fps = whole.select("doc_id", "fp", "_row")
-    best = fps.join(cluster(fps, distance), "fp").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("b"))
-    kept = whole.join(best.select(F.col("b._row").alias("_row")), "_row", "left_semi")
-    return kept.withColumnRenamed("_text", "text").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row"))
+    whole = written(fingerprints(rows.select("doc", "row", F.col("doc.text").alias("text")), width))
+    fps = whole.select(F.col("doc.doc_id").alias("doc_id"), "fp", "row")
+    best = hot_join(fps, cluster(fps, distance), "fp", "n", fps.count()).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row")).alias("b"))
+    return whole.join(best.select(F.col("b.row").alias("row")), "row", "left_semi").select("doc.*")

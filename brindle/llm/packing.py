@@ -13,8 +13,11 @@ repeated: that is all the driver sees.  Ranks come from counts of writing tasks
 classes, so no window gathers a class.  Token ids cross the network once, when pieces meet their
 documents.
 
+Strings of special tokens in a text are those tokens, as the tokenizer file has it.
+
 Defined results: null and empty texts are the end id alone; repeated rows are
-documents of their own; an empty table gives no pieces; a document may be of any length.
+documents of their own; an empty table gives no pieces; a document may be of any length; columns
+beyond doc_id and text do not matter.
 """
 
 from __future__ import annotations
@@ -28,14 +31,16 @@ from pyspark.sql.window import Window
 from .common import written
 
 WINDOW, STEP, DEPTH, END = 2048, 8, 3, 1
+#: The special tokens of the vocabulary, which its rank file leaves out.
+SPECIAL = (("<|endoftext|>", 50256),)
 
 
-def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, step: int = STEP, end: int = END, id_bytes: int = 2):
+def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, step: int = STEP, end: int = END, id_bytes: int = 2, special: tuple[tuple[str, int], ...] = SPECIAL):
     """An Arrow mapper from rows with ``text`` to ids and the counters that ranks are made of.
 
     The vocabulary holds the ranks of the byte-level BPE model of the same name, which give the
-    same ids several times faster.  Strings of special tokens are ordinary text.  An id that
-    does not fit into ``id_bytes`` is an error.
+    same ids several times faster.  A text is cut at the strings of ``special`` tokens, which get their own
+    ids.  An id that does not fit into ``id_bytes`` is an error.
     """
 
     def run(batches: Iterator):
@@ -49,13 +54,16 @@ def tokenize(vocabulary: str = "byte_bpe_50k.tiktoken", window: int = WINDOW, st
 
         with open(public.path(vocabulary), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encode = tiktoken.Encoding("public", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        model = tiktoken.Encoding("public", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens=dict(special))
+        names = tuple(n for n, _ in special)
         pid, row, windows = TaskContext.get().partitionId(), 0, 0
         seen = [0] * (window // step + 1)
         for b in batches:
             out = {k: [] for k in ("row", "doc_tokens", "windows_before", "rest", "class", "local", "ids")}
             for t in b.column("text").to_pylist():
-                ids = np.array([*encode(t or ""), end], f"<u{id_bytes}")
+                t = t or ""
+                found = model.encode(t, allowed_special="all") if any(n in t for n in names) else model.encode_ordinary(t)
+                ids = np.array([*found, end], f"<u{id_bytes}")
                 rest = len(ids) % window
                 c = -(-rest // step)
                 for k, v in zip(out, (row, len(ids), windows, rest, c, seen[c], ids.tobytes()), strict=True):
@@ -104,7 +112,8 @@ def combinations(size: int, depth: int) -> list[tuple[int, ...]]:
 def nnls(a, h, rounds: int = 600):
     """Non-negative least squares by an active set.
 
-    Only the active columns meet in a solve, so memory is that of ``a``.
+    Only the active columns meet in a solve, so memory is that of ``a``.  After ``rounds`` columns it
+    stops with what it has: counts that are then not met are packed as residuals, which costs padding, never data.
     """
     import numpy as np
 

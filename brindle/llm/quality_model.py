@@ -7,7 +7,8 @@ texts that are read whole.  A score is the logistic of a sparse dot product.
 
 Defined results: null and blank texts have no n-grams and get the score of the bias
 alone; labels that are null, or whose text is missing, teach nothing; several labels of one
-id each count; without labels of both kinds every score is 0.5; texts are never cut.
+id each count, as do several texts, within the bound of the sample; without labels of both kinds every score is 0.5; texts are never cut;
+ids may be of any type; columns of the input may have any names, but for the two that are added.
 """
 
 from __future__ import annotations
@@ -120,22 +121,28 @@ def ftrl(rows: list[tuple[int, bytes, bytes]], bits: int = BITS, epochs: int = 3
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
-    """Learns from at most ``sample`` labels whose ids are not held out."""
+    """Learns from at most ``sample`` labelled texts whose ids are not held out.
+
+    An id that many rows bear gives many texts; the least by hash stay, so the driver never gets more than ``sample`` rows.
+    """
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     drawn = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").mapInArrow(collect_features(bits), "doc_id long, y int, idx binary, val binary")
-    got = sorted(rows.collect(), key=lambda r: (hash_order(r["doc_id"]), r["doc_id"], r["y"], bytes(r["idx"])))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    met = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = met.mapInArrow(collect_features(bits), f"doc_id {kind}, y int, idx binary, val binary")
+    bounded = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", F.xxhash64("idx", "val")).limit(sample)
+    got = sorted(bounded.collect(), key=lambda r: (hash_order(r["doc_id"]), str(r["doc_id"]), r["y"], bytes(r["idx"])))
     return ftrl([(r["y"], bytes(r["idx"]), bytes(r["val"])) for r in got], bits)
 
 
-def hash_order(x: int) -> int:
+def hash_order(x) -> int:
     from zlib import crc32
 
     return crc32(str(x).encode(), 1)
 
 
 def scorer(model: Model):
-    """An Arrow mapper that appends ``score`` to its batches and drops ``_text``."""
+    """An Arrow mapper (doc, text) -> (doc, score)."""
     weights, bias, bits = model.weights, model.bias, model.bits
 
     def run(batches: Iterator):
@@ -144,21 +151,24 @@ def scorer(model: Model):
 
         of = featurizer(bits)
         for b in batches:
-            i = b.schema.get_field_index("_text")
             out = np.empty(b.num_rows)
-            for k, t in enumerate(b.column(i).cast(pa.binary()).to_pylist()):
+            for k, t in enumerate(b.column(1).cast(pa.binary()).to_pylist()):
                 f = of(t)
                 out[k] = bias + (SCALE * float(weights[f].sum(dtype=np.float64)) / len(f) if len(f) else 0.0)
             score = 1 / (1 + np.exp(-np.clip(out, -35, 35)))
-            keep = [j for j in range(b.num_columns) if j != i]
-            yield pa.RecordBatch.from_arrays([b.column(j) for j in keep] + [pa.array(score)], [b.schema.names[j] for j in keep] + ["score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score)], ["doc", "score"])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``: one narrow pass."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("score", "predicted")]
-    schema = docs.select(*rest).withColumn("score", F.lit(0.0)).schema
-    out = docs.select(*rest, F.col("text").cast("string").alias("_text")).mapInArrow(scorer(model), schema)
+def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc, score, predicted): every row of ``docs`` as a struct, whatever its columns are named; one narrow pass."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col("text").cast("string").alias("text"))
+    out = rows.mapInArrow(scorer(model), rows.select("doc", F.lit(0.0).alias("score")).schema)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``score`` and ``predicted``, which take the place of columns of these names."""
+    rest = [c for c in docs.columns if c not in ("score", "predicted")]
+    return scored(docs, model, threshold).select(*[F.col("doc").getField(c).alias(c) for c in rest], "score", "predicted")

@@ -7,12 +7,15 @@ has room for ``n // shards`` rows, and one more for the first ``n % shards`` sha
 law ``rows`` holds, counts are at most one apart.  A larger slack moves fewer rows
 when a shard is added and bounds counts by ``(1 + slack)`` times the mean.
 
-The driver sees row counts of cells only, at most ``2 ** CELL_BITS`` of them whatever
-the input.  Ranks inside a cell come from a window over that cell, a fixed small share
-of the ring: equal texts, sources and lengths do not meet in a cell, only equal ids do.
+Rows that are alike in id, size and text hash are counted before anything is moved: they
+travel as one row with a count and are dealt out again at the end, in chunks over many tasks.
+So neither copies nor rows of one id, or of none, meet in one task.  The driver sees row counts of cells only,
+at most ``2 ** CELL_BITS`` of them whatever the input, and the placement that goes back has at most one
+entry more for every shard: 66,000 entries of 40 bytes, under 3 MB.
 
 Defined results: a null text has no bytes and the CRC of an empty text; a null id hashes
-like a value of its own; repeated rows are placed one by one; an empty table gives no rows.
+like a value of its own; repeated rows are placed one by one; an empty table gives no rows;
+columns beyond doc_id and text do not matter.
 """
 
 from __future__ import annotations
@@ -24,12 +27,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import written
+
 #: Size bound of everything that reaches the driver or is broadcast: 65,536 cells.
 CELL_BITS = 16
 
 
-def cell(key: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(key, F.lit("ring")), 64 - CELL_BITS).cast("int")
+#: Copies of one row that are dealt out by one task at a time.
+CHUNK = 65536
+
+
+def cell(*key: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*key, F.lit("ring")), 64 - CELL_BITS).cast("int")
 
 
 def ring(shards: int, virtual: int) -> list[tuple[int, int]]:
@@ -73,17 +82,27 @@ def place(counts: dict[int, int], shards: int, virtual: int, slack: float) -> li
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, virtual: int = 64, slack: float = 0.0) -> DataFrame:
-    """(doc_id, size, text_crc32, law, shard, slot, grown_shard): one narrow shuffle by cell."""
+    """(doc_id, size, text_crc32, law, shard, slot, grown_shard): narrow shuffles by row, then by cell."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), cell(F.col("doc_id")).alias("cell"))
-    counts = {r["cell"]: r["n"] for r in docs.select(cell(F.col("doc_id")).alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    rows = docs.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    alike = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("n"))
+    alike = written(alike.withColumn("cell", cell(F.col("doc_id"), F.col("size"), F.col("text_crc32"))))
+    counts = {r["cell"]: r["n"] for r in alike.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     runs = ",".join(f"[{','.join(map(str, r))}]" for r in place(counts, shards, virtual, slack))
     # The placement is a literal of bounded size, not data read from anywhere.
     plan = spark.range(1).select(F.explode(F.from_json(F.lit(f"[{runs}]"), "array<array<bigint>>")).alias("r")).select(
-        F.col("r")[0].cast("int").alias("cell"), F.col("r")[1].alias("low"), F.col("r")[2].alias("high"), F.col("r")[3].cast("int").alias("shard"), F.col("r")[4].alias("slot0")
+        F.col("r")[0].cast("int").alias("at"), F.col("r")[1].alias("low"), F.col("r")[2].alias("high"), F.col("r")[3].cast("int").alias("shard"), F.col("r")[4].alias("slot0")
     )
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size")) - 1)
-    found = ranked.join(F.broadcast(plan), (ranked["cell"] == plan["cell"]) & (ranked["rank"] >= plan["low"]) & (ranked["rank"] < plan["high"]))
+    so_far = Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = alike.withColumn("last", F.sum("n").over(so_far)).withColumn("first", F.col("last") - F.col("n"))
+    met = ranked.join(F.broadcast(plan), (F.col("cell") == F.col("at")) & (F.col("first") < F.col("high")) & (F.col("last") > F.col("low")))
+    a, b = F.greatest("first", "low"), F.least("last", "high")
+    runs_ = met.select("doc_id", "size", "text_crc32", "shard", (F.col("slot0") + a - F.col("low")).alias("slot"), (b - a).alias("n"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {CHUNK}"))).alias("chunk")
+    many = runs_.where(F.col("n") > CHUNK).select("*", chunk).repartition("shard", "slot", "chunk")
+    many = many.withColumns({"slot": F.col("slot") + F.col("chunk") * CHUNK, "n": F.least(F.lit(CHUNK).cast("long"), F.col("n") - F.col("chunk") * CHUNK)}).drop("chunk")
+    each = F.explode(F.sequence(F.col("slot"), F.col("slot") + F.col("n") - 1)).alias("slot")
+    found = runs_.where(F.col("n") <= CHUNK).unionByName(many).select("doc_id", "size", "text_crc32", "shard", each)
     law = "rows" if slack == 0 else "bounded"
-    return found.select("doc_id", "size", "text_crc32", F.lit(law).alias("law"), "shard", (F.col("slot0") + F.col("rank") - F.col("low")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return found.select("doc_id", "size", "text_crc32", F.lit(law).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -6,14 +6,17 @@ low-discrepancy sequence: the golden-ratio point of a slot, mapped through the c
 weights, names its source; the slots of a source are ranked, and rank r takes the
 source's r-th block, going round again after the last.  A source stops at its target,
 inside its last block if need be; slots that the sequence's small discrepancy leaves
-short follow at the end.
+short follow at the end.  The slot at which a document is first taken, and each further time,
+is part of the result, and ``emit`` gives its rows in that order.
 
-Streams are ranked in two steps (hash bucket, then inside it), and slots likewise in
-runs, so no window ever holds a whole source.  Sources meet only as one row each.
+Streams are ranked in steps (hash bucket; equal rows of one reading task; place among
+them), and slots likewise in runs, so no window ever holds a whole source, nor all
+rows of one id or of none.  Sources meet only as one narrow row each.
 
-Defined results: a null text has size 0 and is taken 0 times; a null source is a source
+Defined results: a null text has size 0 and is taken 0 times, at no slot; a null source is a source
 of its own, last in order; repeated rows are documents of their own; an empty table or
-one without words gives targets of 0.
+one without words gives targets of 0; columns of the input may have any names, since
+they travel inside one struct.
 """
 
 from __future__ import annotations
@@ -56,15 +59,22 @@ def targets(sizes: DataFrame, share_pct: int = 150, cap: int = 2, weights: tuple
 
 
 def stream(rows: DataFrame) -> DataFrame:
-    """(row, source, size, start): each document's place in its source's shuffled stream of words."""
+    """(row, source, size, start): each document's place in its source's shuffled stream of words.
+
+    Equal rows that one task has read are one cell, so an id that a third of all rows bear is
+    spread over as many cells as tasks; a cell lists its rows, never more than that task read.
+    """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = rows.select("row", "source", "doc_id", "size", key.alias("key"), F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("bucket"))
+    of = ["source", "bucket", "key", "doc_id", "size", "tie", "task"]
+    rows = rows.select("row", "source", "doc_id", "size", "tie", key.alias("key"), F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("bucket"), F.shiftright("row", 33).alias("task"))
+    cells = rows.groupBy(*of).agg(F.array_sort(F.collect_list("row")).alias("rows"), F.sum("size").alias("n"))
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "tie", "task").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = cells.withColumn("before", F.sum("n").over(inside) - F.col("n"))
     parts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     first = parts.select(F.col("source").alias("s"), F.col("bucket").alias("b"), (F.sum("n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("n")).alias("first"))
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = rows.withColumn("before", F.sum("size").over(inside) - F.col("size"))
-    joined = ranked.join(first, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
-    return joined.select("row", "source", "size", (F.col("before") + F.col("first")).alias("start"))
+    joined = placed.join(first, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    each = joined.select("source", "size", (F.col("before") + F.col("first")).alias("at"), F.posexplode("rows").alias("i", "row"))
+    return each.select("row", "source", "size", (F.col("at") + F.col("i") * F.col("size")).alias("start"))
 
 
 def schedule(goal: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -85,61 +95,66 @@ def schedule(goal: DataFrame, block: int = BLOCK) -> DataFrame:
     first = runs.withColumn("first", F.sum("n").over(Window.partitionBy("no").orderBy("run")) - F.col("n")).drop("n")
     inside = dealt.withColumn("in_run", F.row_number().over(Window.partitionBy("no", "run").orderBy("id")) - 1)
     ranked = inside.join(first, ["no", "run"]).select("no", (F.col("in_run") + F.col("first")).alias("rank"), F.col("id").alias("slot"))
-    # Every rank up to the need has a slot: its own, or one after all others.
-    wanted = rows.select("no", "source", "source_size", "need", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("rank"))
+    # Every rank up to the need has a slot: its own, or one after all others.  Ranks are made in runs, too.
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {RUN}"))).alias("chunk")
+    chunks = rows.select("no", "source", "source_size", "need", "slots", chunk).repartition("no", "chunk")
+    each = F.explode(F.sequence(F.col("chunk") * RUN, F.least(F.col("slots"), (F.col("chunk") + 1) * RUN) - 1)).alias("rank")
+    wanted = chunks.select("no", "source", "source_size", "need", each)
     late = F.coalesce(F.col("slot"), F.lit(total) + F.col("rank"))
     return wanted.join(ranked, ["no", "rank"], "left").select("source", "source_size", "rank", late.alias("slot"), F.least(F.lit(block).cast("long"), F.col("need") - F.col("rank") * block).alias("words"))
 
 
 def spans(slots: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(s, cell, a, b, slot): the stretches of a source's stream that its slots take.
+    """(s, cell, a, b, turn, slot): the stretches of a source's stream that its slots take.
 
     Rank r takes ``words`` words from word ``r * block`` on; the stream goes round, so a
-    slot that crosses its end takes a stretch on either side.
+    slot that crosses its end takes a stretch on either side, in the next turn.
     """
-    low, n = F.pmod(F.col("rank") * block, F.col("source_size")), F.col("source_size")
+    at, n = F.col("rank") * block, F.col("source_size")
+    low, turn = F.pmod(at, n), F.floor(at / n)
     turns = F.sequence(F.lit(0).cast("long"), F.floor((low + F.col("words") - 1) / n))
-    parts = F.transform(turns, lambda k: F.struct(F.greatest(F.lit(0).cast("long"), low - k * n).alias("a"), F.least(n, low + F.col("words") - k * n).alias("b")))
-    x = slots.select(F.col("source").alias("s"), "slot", F.explode(parts).alias("p")).select("s", "slot", "p.a", "p.b")
+    parts = F.transform(turns, lambda k: F.struct(F.greatest(F.lit(0).cast("long"), low - k * n).alias("a"), F.least(n, low + F.col("words") - k * n).alias("b"), (turn + k).alias("turn")))
+    x = slots.select(F.col("source").alias("s"), "slot", F.explode(parts).alias("p")).select("s", "slot", "p.a", "p.b", "p.turn")
     x = x.withColumn("cell", F.explode(F.sequence(F.floor(F.col("a") / block), F.floor((F.col("b") - 1) / block))))
-    return x.select("s", "cell", "slot", F.greatest("a", F.col("cell") * block).alias("a"), F.least("b", (F.col("cell") + 1) * block).alias("b"))
+    return x.select("s", "cell", "slot", "turn", F.greatest("a", F.col("cell") * block).alias("a"), F.least("b", (F.col("cell") + 1) * block).alias("b"))
 
 
-def mix(docs: DataFrame, share_pct: int = 150, cap: int = 2, block: int = BLOCK) -> DataFrame:
-    """``docs``, which has a ``size`` column, with source_size, target, taken and first_slot.
+def mix(docs: DataFrame, share_pct: int = 150, cap: int = 2, block: int = BLOCK, keep: list[str] | None = None) -> DataFrame:
+    """(doc, size, source_size, target, taken, takes): every row of ``docs`` as a struct, with what the mix takes of it.
 
-    ``taken`` counts words with repeats; no document is taken more than ``cap`` times.  What
-    is taken of a document is ``taken // size`` whole copies and a beginning of ``taken % size`` words.
+    ``docs`` has doc_id, source and text; ``keep`` names the columns that travel on (all).  ``taken`` counts
+    words with repeats; no document is taken more than ``cap`` times.  ``takes`` lists (turn, slot, words)
+    in order: whole copies and, where the target ends inside the document, its beginning.
     """
-    ours = ("source_size", "target", "taken", "first_slot", "row")
-    rows = written(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ours]).withColumn("row", F.monotonically_increasing_id()))
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("doc")
+    text = F.col("text").cast("string")
+    rows = docs.select(kept, "doc_id", "source", count_words(text).alias("size"), F.coalesce(F.crc32(text), F.lit(-1)).alias("tie"), F.monotonically_increasing_id().alias("row"))
+    rows = written(rows)
     goal = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share_pct, cap))
-    placed = stream(rows).where("size > 0")
+    placed = stream(rows.where("size > 0"))
     pieces = placed.withColumn("c", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))))
     taken_spans = spans(schedule(goal, block), block)
     shared = F.least(F.col("b"), F.col("start") + F.col("size")) - F.greatest(F.col("a"), F.col("start"))
-    met = pieces.join(taken_spans, F.col("source").eqNullSafe(F.col("s")) & (F.col("c") == F.col("cell"))).withColumn("shared", shared).where("shared > 0")
-    takes = met.groupBy("row").agg(F.sum("shared").alias("taken"), F.min("slot").alias("first_slot"))
-    facts = goal.select(F.col("source").alias("_source"), "source_size", "target")
-    out = rows.join(takes, "row", "left").join(facts, F.col("source").eqNullSafe(F.col("_source")), "left")
-    return out.withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).drop("row", "_source")
-
-
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("size", count_words(F.col("text")))
+    met = pieces.join(taken_spans, F.col("source").eqNullSafe(F.col("s")) & (F.col("c") == F.col("cell"))).withColumn("words", shared).where("words > 0")
+    turns = met.groupBy("row", "turn").agg(F.min("slot").alias("slot"), F.sum("words").alias("words"))
+    takes = turns.groupBy("row").agg(F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.struct("turn", "slot", "words"))).alias("takes"))
+    facts = goal.select(F.col("source").alias("s"), "source_size", "target")
+    out = rows.select("doc", "source", "size", "row").join(takes, "row", "left").join(facts, F.col("source").eqNullSafe(F.col("s")), "left")
+    return out.select("doc", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("takes", F.array().cast("array<struct<turn:bigint,slot:bigint,words:bigint>>")).alias("takes"))
 
 
 def emit(mixed: DataFrame) -> DataFrame:
-    """The rows of the mix: whole copies, then the beginning of a document that is taken in part.
+    """The rows of the mix, with the columns that the documents had: whole copies, and beginnings of documents taken in part.
 
-    The beginning keeps the text's own separators.
+    Rows of a partition stand in the order of their slots; partitions are random shares of the mix, so each of
+    them, and each beginning of one, holds the sources in their proportions.  A beginning keeps the
+    text's own separators.
     """
-    whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0))
-    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0)).cast("int")
-    head = F.array_join(F.slice(F.regexp_extract_all(F.col("text"), F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), rest), "")
-    copies = F.when(whole > 0, F.array_repeat(F.lit(True), whole.cast("int"))).otherwise(F.array().cast("array<boolean>"))
-    x = mixed.withColumn("_whole", F.explode(F.concat(copies, F.when(rest > 0, F.array(F.lit(False))).otherwise(F.array().cast("array<boolean>")))))
-    return x.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(head)).drop("_whole", "size", "source_size", "target", "taken", "first_slot")
+    x = mixed.withColumn("t", F.explode("takes")).sortWithinPartitions("t.slot", "t.turn")
+    head = F.array_join(F.slice(F.regexp_extract_all(F.col("doc.text"), F.lit(f"[\\x20\\x09-\\x0D]*{WORD}"), F.lit(0)), F.lit(1), F.col("t.words").cast("int")), "")
+    text = F.when(F.col("t.words") == F.col("size"), F.col("doc.text")).otherwise(head)
+    names = mixed.schema["doc"].dataType.fieldNames()
+    return x.select(*[(text if c == "text" else F.col("doc").getField(c)).alias(c) for c in names])
 
 
 ORACLE = """
@@ -151,7 +166,13 @@ l AS (SELECT *, (floor(sum(source_size) OVER () * 150) / 100.0 - coalesce(sum(so
   WINDOW o AS (ORDER BY 2.0 * source_size / weight, encode(source) NULLS LAST)),
 t AS (SELECT source, source_size, CASE WHEN level * weight > source_size * 2 THEN source_size * 2.0::DOUBLE
   ELSE (SELECT arg_min(level, 2.0 * source_size / weight) FROM l WHERE NOT level * weight > source_size * 2) * weight END::DOUBLE AS target FROM l),
-p AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start FROM d)
+p AS (SELECT *, (sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start FROM d),
+g AS (SELECT source, target, floor(target)::BIGINT AS need, ceil(floor(target) / 4096)::BIGINT AS slots FROM t WHERE target >= 1),
+h AS (SELECT *, sum(target) OVER o / sum(target) OVER () AS high, row_number() OVER o = count(*) OVER () AS final FROM g WINDOW o AS (ORDER BY encode(source) NULLS LAST)),
+e AS (SELECT source, coalesce(lag(high) OVER (ORDER BY encode(source) NULLS LAST), 0.0) AS low, CASE WHEN final THEN 1.0 ELSE high END AS high FROM h),
+i AS (SELECT id, id * 1327217885 % 2147483648 / 2147483648.0::DOUBLE AS point FROM (SELECT unnest(range(coalesce(sum(slots), 0)::BIGINT)) AS id FROM g)),
+k AS (SELECT source, id AS slot, row_number() OVER (PARTITION BY source ORDER BY id) - 1 AS rank FROM i JOIN e ON point >= low AND point < high)
 SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
-  floor(target)::BIGINT // source_size * size + greatest(0, least(size, floor(target)::BIGINT % source_size - start)) END::BIGINT AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
+  floor(target)::BIGINT // source_size * size + greatest(0, least(size, floor(target)::BIGINT % source_size - start)) END::BIGINT AS taken,
+  CASE WHEN size > 0 AND start < floor(target)::BIGINT THEN coalesce(slot, (SELECT sum(slots)::BIGINT FROM g) + start // 4096) END::BIGINT AS first_slot
+FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source LEFT JOIN k ON k.source IS NOT DISTINCT FROM p.source AND k.rank = start // 4096"""

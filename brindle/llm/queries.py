@@ -50,8 +50,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return mixed.select("doc.doc_id", "size", "source_size", "target", "taken", F.get("takes", F.lit(0))["slot"].alias("first_slot"))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_chat_format, op3_simhash, op4_pii, op5_quality_model, op6_packing, op7_secrets, op8_kdtree, op9_sharding, op10_mixing)}

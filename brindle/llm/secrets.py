@@ -11,7 +11,7 @@ by the caller as (left, value, right, secret).  The driver grows the forest from
 their features, which the same expressions compute.
 
 Defined results: null and empty texts have no candidates and stay as they are; repeated
-rows are scanned one by one; texts are never cut; spans are code points, end exclusive.
+rows are scanned one by one; texts are never cut; spans are code points, end exclusive; columns of the input may have any names.
 """
 
 from __future__ import annotations
@@ -189,7 +189,13 @@ def train(spark: SparkSession, findings: list[dict] | None = None) -> list:
 
 
 def scan(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``findings``, an array of (start, end, score) of all candidates, and ``redacted``."""
+    """``docs`` with ``findings`` and ``redacted``, which take the place of columns of these names."""
+    rest = [c for c in docs.columns if c not in ("findings", "redacted")]
+    return scanned(docs, forest, threshold).select(*[F.col("doc").getField(c).alias(c) for c in rest], "findings", "redacted")
+
+
+def scanned(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) -> DataFrame:
+    """(doc, findings, redacted): every row of ``docs`` as a struct; an array of (start, end, score) of all candidates; the masked text."""
     forest = forest or train(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     pattern = F.lit(SCANNED)
@@ -226,9 +232,8 @@ def scan(docs: DataFrame, forest: list | None = None, threshold: float = 0.5) ->
         return let(F.split(text, SCANNED), of)
 
     empty = F.struct(F.array().cast("array<struct<start:bigint,end:bigint,score:double>>").alias("findings"), F.col("text").cast("string").alias("redacted"))
-    out = docs.withColumn("_scan", let(found, lambda m: F.when(F.size(m) == 0, empty).otherwise(both(m))))
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("findings", "redacted", "_scan")]
-    return out.select(*keep, F.col("_scan.findings").alias("findings"), F.col("_scan.redacted").alias("redacted"))
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), let(found, lambda m: F.when(F.size(m) == 0, empty).otherwise(both(m))).alias("scan"))
+    return out.select("doc", F.col("scan.findings").alias("findings"), F.col("scan.redacted").alias("redacted"))
 
 
 def summary(scanned: DataFrame, threshold: float = 0.5) -> DataFrame:

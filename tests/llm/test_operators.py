@@ -37,7 +37,7 @@ def docs(spark):
 
 def extra(df):
     """The same rows with columns whose names an operator might use itself."""
-    return df.withColumns({c: F.lit(1) for c in ("size", "kept", "fp", "score", "row", "_row", "taken", "findings", "shard", "rank", "n_words", "target")})
+    return df.withColumns({c: F.lit(1) for c in ("size", "kept", "fp", "score", "row", "_row", "taken", "findings", "redacted", "shard", "rank", "n_words", "target", "doc", "scan", "a.b")})
 
 
 def empty(df):
@@ -388,6 +388,63 @@ def test_quality_model_learns(spark):
     assert len(blank) == 1
 
 
+def plain_features(text: str | None, bits: int = 18) -> dict[int, float]:
+    """Relative counts of hashed words, word pairs (one token for a repeated word) and end marks, number by number."""
+    import zlib as z
+
+    def mixed(x: int) -> int:
+        x = x * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+        return (((x ^ x >> 29) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1) >> 20) & (1 << bits) - 1
+
+    ws = [w.encode() for w in WORD.findall(text or "")]
+    hs = [z.crc32(w) for w in ws]
+    marks = [re.search(rb"[!-/:-@\[-`{-~]+\Z", w) for w in ws]
+    found = hs + [3 if a == b else (a << 31) + b + (1 << 63) & (1 << 64) - 1 for a, b in zip(hs, hs[1:])] + [z.crc32(m[0][-3:], 7) + (1 << 40) for m in marks if m]
+    out: dict[int, float] = {}
+    for x in found:
+        out[mixed(x)] = out.get(mixed(x), 0) + 1 / len(found)
+    return out
+
+
+def test_quality_model_matches_a_plain_version(spark):
+    """The same examples in the same order, one weight at a time: FTRL-proximal as published, with three epochs."""
+    import math
+
+    texts = {i: prose(i, 30 + i) + (" !! buy buy now..." * (i % 5) if i % 3 else "") for i in range(60)} | {70: None, 71: "", 72: "x x x."}
+    labels = {i: int(i % 3 == 0) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    model = quality_model.train(docs, spark.createDataFrame(list(labels.items()), "doc_id long, quality int"))
+    learnt = sorted((i for i in labels if zlib.crc32(str(i).encode()) % 5), key=lambda i: zlib.crc32(str(i).encode(), 1))
+    z, n, zb, nb = {}, {}, 0.0, 0.0
+    weight = lambda i: 0.0 if abs(z.get(i, 0.0)) <= 0.02 else (math.copysign(0.02, z[i]) - z[i]) / ((1 + math.sqrt(n[i])) / 0.5 + 0.1)
+    for _ in range(3):
+        for d in learnt:
+            x = {i: 8 * v for i, v in plain_features(texts[d]).items()}
+            w = {i: weight(i) for i in x}
+            b = -zb / ((1 + math.sqrt(nb)) / 0.5)
+            g = 1 / (1 + math.exp(-(sum(w[i] * x[i] for i in x) + b))) - labels[d]
+            for i, v in x.items():
+                old = n.get(i, 0.0)
+                n[i] = old + (g * v) ** 2
+                z[i] = z.get(i, 0.0) + g * v - (math.sqrt(n[i]) - math.sqrt(old)) / 0.5 * w[i]
+            zb += g - (math.sqrt(nb + g * g) - math.sqrt(nb)) / 0.5 * b
+            nb += g * g
+    bias = -zb / ((1 + math.sqrt(nb)) / 0.5)
+    for r in quality_model.score(docs, model).collect():
+        s = 1 / (1 + math.exp(-(bias + sum(8 * v * weight(i) for i, v in plain_features(texts[r.doc_id]).items()))))
+        assert abs(r.score - s) < 1e-4 and r.predicted == int(r.score >= 0.3)
+
+
+def test_quality_model_other_ids_and_repeated_ones(spark):
+    """Ids may be strings; an id that very many rows bear does not fill the driver, and its texts still count."""
+    rows = [(f"d{i}", prose(i, 30) + " junk junk" * (i % 2)) for i in range(80)] + [("d1", prose(1, 30))] * 3000
+    labels = spark.createDataFrame([(f"d{i}", 1 - i % 2) for i in range(80)] + [("d1", 0)] * 3, "doc_id string, quality int")
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    model = quality_model.train(docs, labels, sample=100)
+    got = quality_model.scored(docs.withColumns({"doc": F.lit(1), "score": F.lit("s"), "a.b": F.lit(2)}), model)
+    assert got.count() == len(rows) and got.first().doc.score == "s"
+
+
 def test_quality_model_never_learns_from_held_out(spark):
     ids = [i for i in range(300) if zlib.crc32(str(i).encode()) % 5 == 0]
     docs = spark.createDataFrame([(i, prose(i, 20)) for i in ids], "doc_id long, text string")
@@ -405,7 +462,6 @@ def check_packing(rows, texts: dict) -> float:
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     by, seq = {}, {}
     for r in rows:
         by.setdefault(r.doc_id, []).append(r)
@@ -433,6 +489,7 @@ def check_packing(rows, texts: dict) -> float:
 
 def test_packing(spark):
     texts = {i: prose(i, random.Random(i).randint(1, 2500)) for i in range(150)} | {500: None, 501: "", 502: "<|endoftext|> é𝄞\n\n  x", 503: "z" * 3000}
+    texts |= {504: "a <|endoftext|> b", 505: "a  <|endoftext|><|endoftext|>\n\n  b", 506: "x  <|endoftext|>", 507: "<|endoftext|", 508: "<|ENDOFTEXT|> <|fim|>"}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     assert check_packing(packing.pack(extra(df)).collect(), texts) < 0.02
     assert packing.pack(empty(df)).count() == 0
@@ -567,7 +624,7 @@ def test_search(spark, monkeypatch, rows_per_shard):
     assert kdtree.top_k(df.where("1 = 0")).count() == 0
 
 
-@pytest.mark.parametrize("size", [1.0, 1e5, 1e6, 9e14, 1e15, 2e15, 1e30, 1e300])
+@pytest.mark.parametrize("size", [1e6, 9e14, 2e15, 1e300])
 def test_search_large_components(spark, monkeypatch, size):
     """Sums beyond 2 ** 53 and 2 ** 63, and components beyond both, rank exactly."""
     monkeypatch.setattr(kdtree, "SHARD_ROWS", 40)
@@ -630,18 +687,56 @@ def test_sharding_moves_little(spark):
     assert max(sizes) <= 1.1 * 20000 / 24 + 1
 
 
+def test_sharding_moves_little_without_slack(spark):
+    """With the law ``rows`` a further shard moves few rows more than its own share."""
+    ids = spark.range(24000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    a, b = ({r.doc_id: r.shard for r in sharding.shard_documents(ids, n).collect()} for n in (24, 25))
+    assert 1000 * 24000 // 25 // 1000 - 1 <= sum(a[i] != b[i] for i in a) < 0.12 * len(a)
+
+
+def test_sharding_matches_a_plain_ring(spark):
+    """Row by row: each goes to the next virtual node clockwise whose shard has room."""
+    docs = spark.createDataFrame([(i % 700, f"t{i % 900}") for i in range(1500)] + [(5, "t5")] * 300 + [(None, None)] * 40, "doc_id long, text string")
+    keyed = docs.select("doc_id", (F.octet_length(F.coalesce("text", F.lit(""))) + 8).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("crc"))
+    rows = [tuple(r) for r in keyed.withColumn("cell", sharding.cell(F.col("doc_id"), F.col("size"), F.col("crc"))).collect()]
+    rows.sort(key=lambda r: (r[3], r[0] is not None, r[0] or 0, r[2], r[1]))
+    nodes = sharding.ring(7, 16)
+    room = [len(rows) // 7 + (s < len(rows) % 7) for s in range(7)]
+    want = []
+    for i, size, crc, cell in rows:
+        start = next((k for k, (at, _) in enumerate(nodes) if at >= cell), 0)
+        s = next(nodes[(start + k) % len(nodes)][1] for k in range(len(nodes)) if room[nodes[(start + k) % len(nodes)][1]])
+        room[s] -= 1
+        want.append((repr(i), size, crc, s))
+    got = sharding.shard_documents(docs, 7, 16).collect()
+    assert sorted((repr(r.doc_id), r.size, r.text_crc32, r.shard) for r in got) == sorted(want)
+
+
+def test_sharding_deals_out_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 50)
+    docs = spark.createDataFrame([(1, "same")] * 1000 + [(2, "x")] * 49 + [(3, "y")], "doc_id long, text string")
+    got = sharding.shard_documents(docs, 3).collect()
+    assert sorted(r.doc_id for r in got) == [1] * 1000 + [2] * 49 + [3]
+    for s in range(3):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(350))
+
+
 # ---- mixing
 
 
+CLASHES = ("size", "taken", "target", "first_slot", "row", "source_size", "takes", "doc", "t", "s", "a.b", "tie", "words", "slot")
+
+
 def test_mixing(spark, docs):
-    d = mixing.sized(docs.select("doc_id", "source", "text"))
-    got = mixing.mix(d.withColumns({c: F.lit(1) for c in ("row", "taken", "target", "key", "start")})).collect()
+    got = mixing.mix(docs.withColumns({c: F.lit(1) for c in CLASHES})).collect()
     assert len(got) == docs.count()
     sums: dict = {}
     for r in got:
-        n, t = sums.get(r.source, (0, 0))
-        sums[r.source] = (n + r.size, t + r.taken)
-        assert r.size == len(WORD.findall(r.text or "")) and 0 <= r.taken <= 2 * r.size
+        n, t = sums.get(r.doc.source, (0, 0))
+        sums[r.doc.source] = (n + r.size, t + r.taken)
+        assert r.size == len(WORD.findall(r.doc.text or "")) and 0 <= r.taken <= 2 * r.size
+        assert sum(t.words for t in r.takes) == r.taken and [t.turn for t in r.takes] == list(range(len(r.takes)))
+        assert [t.slot for t in r.takes] == sorted(t.slot for t in r.takes)
     names = sorted((s for s in sums if s is not None)) + [None] * (None in sums)
     weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
     left, open_, want = 1.5 * sum(n for n, _ in sums.values()), set(sums), {}
@@ -656,22 +751,71 @@ def test_mixing(spark, docs):
         open_ -= over
     want |= {s: level * weights[s] for s in open_}
     for r in got:
-        assert abs(r.target - want[r.source]) < 1e-6 and r.source_size == sums[r.source][0]
+        assert abs(r.target - want[r.doc.source]) < 1e-6 and r.source_size == sums[r.doc.source][0]
     for s, (_, t) in sums.items():
         assert abs(t - want[s]) <= 1
-    again = mixing.mix(d.repartition(7)).collect()
-    assert sorted((repr(r.doc_id), r.size, r.taken) for r in got) == sorted((repr(r.doc_id), r.size, r.taken) for r in again)
+    again = mixing.mix(docs.repartition(7)).collect()
+    key = lambda r: (repr(r.doc.doc_id), r.doc.text or "", r.size, r.taken, repr(r.takes))
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def test_schedule_is_of_low_discrepancy(spark):
+    """In every prefix of the slots each source has its share, but for a few: a schedule in blocks of sources fails."""
+    import math
+
+    sizes = {"a": 900000, "b": 2000000, "c": 400000, None: 700000}
+    goal = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+    share = {r.source: r.target for r in goal.collect()}
+    total = sum(share.values())
+    slots = sorted(mixing.schedule(goal, 256).collect(), key=lambda r: r.slot)
+    assert len(slots) > 10000 and len({r.slot for r in slots}) > 0.99 * len(slots)
+    seen = dict.fromkeys(share, 0)
+    worst = 0.0
+    for n, r in enumerate(slots, 1):
+        seen[r.source] += 1
+        worst = max(worst, max(abs(seen[s] - n * share[s] / total) for s in share) - math.log(n + 1))
+    assert worst < 3
+    ranks: dict = {}
+    for r in slots:
+        ranks.setdefault(r.source, []).append(r.rank)
+    assert all(x == list(range(len(x))) for x in ranks.values())
+
+
+def test_mix_comes_in_slot_order(spark):
+    """Emitted rows alternate between the sources as the schedule says, copies at their own slots."""
+    rows = [(i, " ".join([f"w{i}"] * 50), "en", "abc"[i % 3], 1) for i in range(900)]
+    out = mixing.emit(mixing.mix(spark.createDataFrame(rows, DOCS).repartition(1), block=64).coalesce(1)).collect()
+    taken: dict = {}
+    for r in out:
+        taken[r.source] = taken.get(r.source, 0) + len(r.text.split())
+    total, so_far = sum(taken.values()), dict.fromkeys(taken, 0)
+    for n, r in enumerate(out):
+        so_far[r.source] += len(r.text.split())
+        if n % 100 == 99:
+            done = sum(so_far.values())
+            assert all(abs(so_far[s] - done * taken[s] / total) < 64 * 12 for s in taken)
 
 
 def test_mixing_emits_what_it_takes(docs):
-    mixed = mixing.mix(mixing.sized(docs))
+    mixed = mixing.mix(extra(docs))
     want = mixed.agg(F.sum("taken")).first()[0]
     out = mixing.emit(mixed)
-    assert out.columns == docs.columns
-    assert sum(len(WORD.findall(r.text or "")) for r in out.collect()) == want
+    assert out.columns == extra(docs).columns
+    rows = out.collect()
+    assert sum(len(WORD.findall(r.text or "")) for r in rows) == want and {r.size for r in rows} == {1}
+
+
+def test_mixing_one_id_over_many_tasks(spark):
+    """Rows of one id and of none, texts alike and different: every word of a stream has one place."""
+    rows = [(7, "a b c", None, "x", 1)] * 200 + [(None, f"t{i % 3} u", None, "x", 1) for i in range(200)] + [(i, "q", None, "x", 1) for i in range(50)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    base = docs.select("doc_id", "source", F.lit(1).cast("long").alias("size"), F.lit(0).cast("long").alias("tie"), F.monotonically_increasing_id().alias("row"))
+    at = sorted(r.start for r in mixing.stream(base).collect())
+    assert at == list(range(450))
+    assert sum(r.taken for r in mixing.mix(docs).collect()) == sum(int(1.5 * len(t.split())) for t in [" ".join(r[1] for r in rows)])
 
 
 def test_mixing_edges(spark, docs):
-    assert mixing.mix(mixing.sized(empty(docs))).count() == 0
+    assert mixing.mix(empty(docs)).count() == 0 and mixing.emit(mixing.mix(empty(docs))).columns == docs.columns
     blank = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
-    assert [(r.taken, r.target) for r in mixing.mix(mixing.sized(blank)).collect()] == [(0, 0.0), (0, 0.0)]
+    assert [(r.taken, r.target, r.takes) for r in mixing.mix(blank).collect()] == [(0, 0.0, [])] * 2

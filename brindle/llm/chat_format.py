@@ -1,10 +1,13 @@
 """Chat formatting by schema fingerprints.
 
 A layout is a record schema with a declarative mapping to canonical turns.  The
-fingerprint of a schema is the SHA-256 of its sorted nested field paths, so the
-order of fields does not matter; a record is mapped by the layout whose
-fingerprint its own schema has.  JSON records carry their layout row by row: each takes
-the layout whose paths it has, whatever types or further fields there are.
+fingerprint of a schema is the SHA-256 of its sorted nested field paths, so neither the
+order nor the types of fields matter.  Records may come as a DataFrame, whose own schema has the
+fingerprint, or as JSON text, each row with a layout of its own.
+
+A JSON record has a layout's fingerprint when hashing those of its paths that the
+layout names gives it: further fields do not matter, and a null or an empty array stands for all paths
+below it.  Of several layouts the one with most paths is taken, then the first.
 
 The template marks turns and escapes its marks inside roles and texts with a
 backslash, reversibly.  Everything is made of built-in expressions.
@@ -12,12 +15,14 @@ backslash, reversibly.  Everything is made of built-in expressions.
 Defined results: a null role or text is empty; turns are ordered by number (nulls
 first), then role, then text; repeated rows are turns of their own; rows of a null
 conversation form one conversation; a record of an unknown layout, or without turns, formats to
-an empty string.  A conversation is one record, so its turns meet in one row.
+an empty string; columns beyond those named do not matter; an empty table gives no rows.  A conversation is
+one record, so its turns meet in one row.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +33,8 @@ from .common import let
 
 OPEN, SAYS, CLOSE = "<|turn|>", "<|says|>", "<|end|>"
 TURNS = "array<struct<role:string,text:string>>"
+#: Strings of any length: the parser's own limit would turn a record with a longer one into nulls.
+READ = {"maxStringLen": str((1 << 31) - 1), "maxNumLen": str((1 << 31) - 1)}
 
 
 def paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -45,85 +52,120 @@ def fingerprint(schema: T.StructType) -> str:
 
 @dataclass(frozen=True)
 class Layout:
-    """``turns`` is a SQL expression over the fields of ``schema``, as an array of (role, text)."""
+    """``turns`` maps a record of ``schema`` to an array of (role, text)."""
 
     name: str
     schema: str
-    turns: str
+    turns: Callable[[Column], Column]
+
+    @property
+    def kind(self) -> T.StructType:
+        return T.StructType.fromDDL(self.schema)
 
     @property
     def fingerprint(self) -> str:
-        return fingerprint(T.StructType.fromDDL(self.schema))
+        return fingerprint(self.kind)
+
+
+def _said(role, text: Column) -> Column:
+    return F.struct((role if isinstance(role, Column) else F.lit(role)).alias("role"), text.alias("text"))
 
 
-def _pair(ask: str, answer: str) -> str:
-    return f"array(named_struct('role', 'user', 'text', {ask}), named_struct('role', 'assistant', 'text', {answer}))"
+def _pair(ask: str, answer: str) -> Callable[[Column], Column]:
+    return lambda r: F.array(_said("user", r[ask]), _said("assistant", r[answer]))
 
 
-_SPEAKER = "CASE lower(x.`from`) WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' ELSE lower(x.`from`) END"
+def _speaker(name: Column) -> Column:
+    low = F.lower(name)
+    return F.when(low == "human", "user").when(low.isin("gpt", "bot"), "assistant").otherwise(low)
+
 
 LAYOUTS = (
-    Layout("turn rows", "turns ARRAY<STRUCT<turn: BIGINT, role: STRING, text: STRING>>", "transform(array_sort(turns), x -> named_struct('role', x.role, 'text', x.text))"),
-    Layout("messages", "messages ARRAY<STRUCT<role: STRING, content: STRING>>", "transform(messages, x -> named_struct('role', x.role, 'text', x.content))"),
-    Layout("speakers", "conversations ARRAY<STRUCT<`from`: STRING, value: STRING>>", f"transform(conversations, x -> named_struct('role', {_SPEAKER}, 'text', x.value))"),
+    Layout("turn rows", "turns ARRAY<STRUCT<turn: BIGINT, role: STRING, text: STRING>>", lambda r: F.transform(F.array_sort(r["turns"]), lambda x: _said(x["role"], x["text"]))),
+    Layout("messages", "messages ARRAY<STRUCT<role: STRING, content: STRING>>", lambda r: F.transform(r["messages"], lambda x: _said(x["role"], x["content"]))),
+    Layout("speakers", "conversations ARRAY<STRUCT<`from`: STRING, value: STRING>>", lambda r: F.transform(r["conversations"], lambda x: _said(_speaker(x["from"]), x["value"]))),
     Layout("prompt, response", "prompt STRING, response STRING", _pair("prompt", "response")),
     Layout("prompt, completion", "prompt STRING, completion STRING", _pair("prompt", "completion")),
     Layout("question, answer", "question STRING, answer STRING", _pair("question", "answer")),
     Layout("instruction, output", "instruction STRING, output STRING", _pair("instruction", "output")),
-    Layout("instruction, input, output", "instruction STRING, input STRING, output STRING", _pair("concat_ws('\\n\\n', instruction, nullif(input, ''))", "output")),
-    Layout("system, prompt, response", "system STRING, prompt STRING, response STRING", "concat(array(named_struct('role', 'system', 'text', system)), " + _pair("prompt", "response") + ")"),
+    Layout("instruction, input, output", "instruction STRING, input STRING, output STRING", lambda r: F.array(_said("user", F.concat_ws("\n\n", r["instruction"], F.nullif(r["input"], F.lit("")))), _said("assistant", r["output"]))),
+    Layout("system, prompt, response", "system STRING, prompt STRING, response STRING", lambda r: F.array(_said("system", r["system"]), _said("user", r["prompt"]), _said("assistant", r["response"]))),
 )
 
 
 def canonical(df: DataFrame, fields: list[str], layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``df`` with ``turns_out``: the fields' own schema selects the mapping; the other columns stay."""
     found = fingerprint(T.StructType([df.schema[f] for f in fields]))
-    expr = next((x.turns for x in layouts if x.fingerprint == found), "array()")
-    return df.withColumn("turns_out", F.expr(expr).cast(TURNS)).withColumn("fingerprint", F.lit(found))
+    record = F.struct(*[F.col(f"`{f}`") for f in fields])
+    turns = next((x.turns(record) for x in layouts if x.fingerprint == found), F.array())
+    return df.withColumn("turns_out", turns.cast(TURNS)).withColumn("fingerprint", F.lit(found))
 
 
-def canonical_json(df: DataFrame, column: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """Records as JSON text: each row's own nested paths choose its mapping.
+def record_paths(raw: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
+    """Those nested paths of a JSON record that any layout names, with repeats; empty for what is no object."""
+    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    fields = {f.name: f.dataType for x in layouts for f in x.kind.fields}
+    lists = [n for n, k in fields.items() if isinstance(k, T.ArrayType)]
+    plain = F.filter(keys, lambda k: k.isin([n for n in fields if n not in lists]))
+    if not lists:
+        return plain
+    rows = F.from_json(raw, ", ".join(f"`{n}` ARRAY<MAP<STRING, STRING>>" for n in lists), READ)
+
+    def below(name: str, r: Column) -> Column:
+        all_ = F.array(*[F.lit(p) for p in dict.fromkeys(p for x in layouts for f in x.kind.fields if f.name == name for p in paths(f.dataType, name))])
+        objects = F.filter(r[name], lambda x: x.isNotNull())
+        seen = F.transform(F.flatten(F.transform(objects, lambda x: F.map_keys(x))), lambda k: F.concat(F.lit(f"{name}[]."), k))
+        return F.when(~F.array_contains(keys, name), F.array().cast("array<string>")).when(F.coalesce(F.size(objects), F.lit(0)) <= 0, all_).otherwise(seen)
+
+    return let(rows, lambda r: F.concat(plain, *[below(n, r) for n in lists]))
 
-    A layout fits where the record has all its paths; further fields do not matter, nor do
-    types, and a null or an empty array stands for any paths below it.  Of several
-    layouts the one with most paths is taken, then the first.
+
+def canonical_json(df: DataFrame, column: str, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
+    """Records as JSON text, with ``turns_out`` and ``fingerprint``: each row's own paths choose its mapping."""
+    raw, none = F.col(column), F.array().cast(TURNS)
+    order = sorted(layouts, key=lambda x: -len(paths(x.kind)))
+
+    def has(found: Column, x: Layout) -> Column:
+        named = F.array_intersect(found, F.array(*[F.lit(p) for p in paths(x.kind)]))
+        return F.sha2(F.array_join(F.array_sort(named), "\n"), 256) == x.fingerprint
+
+    chosen = let(record_paths(raw, layouts), lambda found: F.coalesce(*[F.when(has(found, x), F.lit(x.fingerprint)) for x in order], F.sha2(F.array_join(F.array_sort(F.array_distinct(found)), "\n"), 256)))
+    df = df.withColumn("fingerprint", chosen)
+    turns = none
+    for x in reversed(order):
+        map_ = x.turns
+        mapped = let(F.from_json(raw, x.kind, READ), lambda r: F.coalesce(map_(r).cast(TURNS), none))
+        turns = F.when(F.col("fingerprint") == x.fingerprint, mapped).otherwise(turns)
+    return df.withColumn("turns_out", turns)
+
+
+def as_records(rows: DataFrame) -> DataFrame:
+    """Rows (conv_id, turn, role, text) as (conv_id, raw): one JSON record a conversation, in the layouts that a corpus mixes.
+
+    A question with its answer takes one of the two-field layouts (three, where the question has two
+    parts), one with a system text before it the layout with ``system``; other conversations are listed as turn rows,
+    messages or, where every role has a speaker's name, speakers.  Which of the fitting ones is up to the id's hash.
     """
-    keys = "map_keys(try_variant_get(_v, '$', 'map<string,variant>'))"
-    df = df.withColumn("_v", F.try_parse_json(F.col(column)))
-    turns, found = F.array().cast(TURNS), F.sha2(F.array_join(F.array_sort(F.expr(keys)), "\n"), 256)
-    # The last case wraps the others, so it comes first.
-    for x in sorted(reversed(layouts), key=lambda x: len(paths(T.StructType.fromDDL(x.schema)))):
-        schema = T.StructType.fromDDL(x.schema)
-        name = f"_r_{x.fingerprint[:8]}"
-        fits = F.lit(True)
-        for f in schema.fields:
-            fits &= F.coalesce(F.expr(f"array_contains({keys}, '{f.name}')"), F.lit(False))
-            if isinstance(f.dataType, T.ArrayType):
-                fits &= _holds(f)
-        df = df.withColumn(name, F.when(fits, F.from_json(F.col(column), schema)))
-        # One alias per field, so that the mapping's names resolve inside the record.
-        expr = x.turns
-        for f in schema.fieldNames():
-            expr = _qualify(expr, f, name)
-        turns = F.when(F.col(name).isNotNull(), F.coalesce(F.expr(expr).cast(TURNS), F.array().cast(TURNS))).otherwise(turns)
-        found = F.when(F.col(name).isNotNull(), F.lit(x.fingerprint)).otherwise(found)
-    df = df.withColumn("fingerprint", found).withColumn("turns_out", turns)
-    return df.drop("_v", *[f"_r_{x.fingerprint[:8]}" for x in layouts])
-
-
-def _holds(field: T.StructField) -> Column:
-    """Whether the array of objects in ``field`` of ``_v`` has all the layout's fields; null and empty ones do."""
-    rows = f"filter(try_variant_get(_v, '$.{field.name}', 'array<map<string,variant>>'), x -> x IS NOT NULL)"
-    named = "array(" + ", ".join(f"'{n}'" for n in field.dataType.elementType.fieldNames()) + ")"
-    missing = f"size(array_except({named}, flatten(transform({rows}, x -> map_keys(x))))) = 0"
-    return F.expr(f"coalesce(is_variant_null(variant_get(_v, '$.{field.name}', 'variant')), false) OR coalesce(size({rows}) = 0 OR {missing}, false)")
-
-
-def _qualify(expr: str, name: str, record: str) -> str:
-    import re
-
-    return re.sub(rf"(?<![\w.'`]){name}(?![\w'`])", f"{record}.{name}", expr)
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+    records = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("ts"))
+    json = lambda x: F.to_json(x, {"ignoreNullFields": "false"})
+    pick = lambda n: F.pmod(F.xxhash64(F.col("conv_id").cast("string"), F.lit("layout")), F.lit(n))
+    roles = F.transform("ts", lambda t: F.coalesce(t["role"], F.lit("")))
+    text = lambda i: F.get(F.col("ts"), F.lit(i))["text"]
+    two = lambda ask, answer, a=0: F.struct(text(a).alias(ask), text(a + 1).alias(answer))
+    cut = F.instr(text(0), "\n\n")
+    parts = F.struct(F.substring(text(0), F.lit(1), cut - 1).alias("instruction"), F.substring(text(0), cut + 2, F.length(text(0))).alias("input"), text(1).alias("output"))
+    pair = F.array_join(roles, ",") == "user,assistant"
+    asked = F.array_join(roles, ",") == "system,user,assistant"
+    raw = F.when(pair & (cut > 1) & (F.length(text(0)) > cut + 1), json(parts))
+    raw = raw.when(pair & (pick(4) == 0), json(two("prompt", "response"))).when(pair & (pick(4) == 1), json(two("prompt", "completion")))
+    raw = raw.when(pair & (pick(4) == 2), json(two("question", "answer"))).when(pair, json(two("instruction", "output")))
+    raw = raw.when(asked, json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))))
+    speakers = F.transform("ts", lambda t: F.struct(F.when(t["role"] == "user", "human").when(t["role"] == "assistant", "gpt").otherwise(t["role"]).alias("from"), t["text"].alias("value")))
+    messages = F.transform("ts", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content")))
+    raw = raw.when((pick(3) == 0) & F.forall(roles, lambda r: r.isin("user", "assistant", "system", "tool")), json(F.struct(speakers.alias("conversations"))))
+    raw = raw.when(pick(3) == 1, json(F.struct(messages.alias("messages")))).otherwise(json(F.struct(F.col("ts").alias("turns"))))
+    return records.select("conv_id", raw.alias("raw"))
 
 
 def escape(x: Column) -> Column:
@@ -170,15 +212,29 @@ def parse(formatted: Column) -> Column:
 
 
 def under_mask(formatted: Column, spans: Column) -> Column:
-    """The unescaped text under the loss mask."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    """The unescaped text under the loss mask, by one scan: the spans are bodies of turns, found again by their places."""
+    parts = F.filter(F.split(formatted, "\\Q" + OPEN + "\\E"), lambda x: x != "")
+    none = F.array().cast("array<bigint>")
+    step = lambda a, x: F.struct((a["at"] + len(OPEN) + F.length(x)).alias("at"), F.array_append(a["starts"], a["at"] + len(OPEN)).alias("starts"))
+    starts = lambda ps: F.aggregate(ps, F.struct(F.lit(0).cast("long").alias("at"), none.alias("starts")), step, lambda a: a["starts"])
+
+    def cut(x: Column, at: Column) -> Column:
+        head = F.instr(x, SAYS) + len(SAYS) - 1
+        return F.struct((at + head).alias("start"), (at + F.length(x) - len(CLOSE)).alias("end"), F.substring(x, head + 1, F.length(x) - head - len(CLOSE)).alias("body"))
+
+    bodies = let(parts, lambda ps: F.zip_with(ps, starts(ps), cut))
+    masked = F.filter(bodies, lambda p: F.array_contains(spans, F.struct(p["start"].cast("long").alias("start"), p["end"].cast("long").alias("end"))))
+    return F.array_join(F.transform(masked, lambda p: unescape(p["body"])), "")
 
 
 def format_chats(rows: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) into one formatted record a conversation."""
-    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    records = rows.groupBy("conv_id").agg(F.collect_list(turn).alias("turns"))
-    out = canonical(records, ["turns"]).select("conv_id", "fingerprint", format_turns(F.col("turns_out")).alias("f"))
+    """Rows (conv_id, turn, role, text) into one formatted record a conversation, by way of records in mixed layouts."""
+    return format_records(as_records(rows))
+
+
+def format_records(records: DataFrame) -> DataFrame:
+    """(conv_id, raw) with ``raw`` as JSON of any known layout -> (conv_id, fingerprint, formatted, spans)."""
+    out = canonical_json(records, "raw").select("conv_id", "fingerprint", format_turns(F.col("turns_out")).alias("f"))
     return out.select("conv_id", "fingerprint", "f.formatted", "f.spans")
 
 

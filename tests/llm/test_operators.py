@@ -172,6 +172,33 @@ def test_chat_json_unknown(spark, raw):
     assert chat_format.canonical_json(spark.createDataFrame([(raw,)], "raw string"), "raw").first().turns_out == []
 
 
+def test_chat_records_use_many_layouts(spark):
+    """Conversations pass through every layout that fits them, and come back turn by turn."""
+    r = random.Random(8)
+    say = lambda: r.choice(["", None, "a\n\nb", "\n\n", "x\n\n", "é𝄞\u0001\"\\", "<|end|>", "plain text"])
+    rows = []
+    for c in range(300):
+        roles = r.choice([["user", "assistant"]] * 3 + [["system", "user", "assistant"], ["user"] * 3, ["human", "gpt"], [None, "assistant", "user"], ["User", "assistant"], ["assistant"]])
+        rows += [(c, i, role, say()) for i, role in enumerate(roles)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({"raw": F.lit(1), "ts": F.lit(2), "a.b": F.lit(3)})
+    out = chat_format.format_chats(df)
+    got = {x.conv_id: x for x in out.withColumn("read", chat_format.parse(F.col("formatted"))).withColumn("loss", chat_format.under_mask(F.col("formatted"), F.col("spans"))).collect()}
+    for c in range(300):
+        mine = [(role or "", text or "") for i, _, role, text in rows if i == c]
+        assert [tuple(t) for t in got[c].read] == mine
+        assert got[c].loss == "".join(x for role, x in mine if role == "assistant")
+    names = {x.fingerprint: x.name for x in chat_format.LAYOUTS}
+    assert {names[x.fingerprint] for x in got.values()} == set(names.values())
+
+
+def test_chat_long_texts(spark):
+    """Neither records nor single texts have a largest size within what a string can hold."""
+    n = 24_000_000
+    df = spark.createDataFrame([(1,)], "conv_id long").select("conv_id", F.lit(0).alias("turn"), F.lit("assistant").alias("role"), F.repeat(F.lit("é"), F.lit(n)).alias("text"))
+    got = chat_format.digest(chat_format.format_chats(df)).first()
+    assert (got.n_turns, got.loss_chars) == (1, n) and got.loss_sha256 == hashlib.sha256(("é" * n).encode()).hexdigest()
+
+
 def test_chat_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.format_chats(df).count() == 0

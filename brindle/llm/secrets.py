@@ -1,14 +1,15 @@
 """Secret scans with a random forest that removes false positives.
 
-Candidates are long runs of token characters, private-key blocks, and shorter values directly after a secret name.  Length,
+Candidates are long runs of token characters, private-key blocks, shorter values directly after a secret name, and
+passwords in URLs.  Length,
 character transitions, digit and hex shares, dictionary coverage, path marks and
 the words within 48 characters on either side, other candidates included, describe each one.  A forest grown from labelled findings judges
 them; its trees are compiled into one SQL expression, so scanning is a single projection of
 built-in expressions without any shuffle.
 
 The labelled findings are made by rule from a fixed seed (``labelled_findings``) or passed in
-by the caller as (left, value, right, secret).  The driver grows the forest from
-their features, which the same expressions compute.
+by the caller as rows (left, value, right, y), for example read from JSON lines by ``load_findings``.  The driver
+grows the forest from at most ``FINDINGS`` of them, by the features that the same expressions compute.
 
 Defined results: null and empty texts have no candidates and stay as they are; repeated
 rows are scanned one by one; texts are never cut; spans are code points, end exclusive; columns of the input may have any names.
@@ -34,19 +35,33 @@ AFTER_NAME = (
     r"(?<=(?i:token|secret|key|passwd|password|passphrase|pwd|auth|bearer|credentials?)[A-Za-z0-9_-]{0,24}[\"'`]?\s{0,2}[=:]\s{0,2}[\"'`]?)"
     r"[^\s\"'`,;<>=:][^\s\"'`,;<>]{3,}+"
 )
-SCANNED = CANDIDATE + "|" + AFTER_NAME
+#: What stands between the user's name and the host in a URL.
+IN_URL = r"(?<=:)(?<=://[^\s/:@]{1,255}:)[^\s/@]{3,}+(?=@)"
+SCANNED = CANDIDATE + "|" + IN_URL + "|" + AFTER_NAME
 MASK = "<secret>"
 NEAR = 48
 
+#: Words that identifiers, paths, placeholders and prose are made of, and some frequent word endings.
 DICTIONARY = (
-    "password passwd secret token example sample dummy placeholder changeme your here test user admin version index image static "
-    "http https www com org net html json xml data file path home usr lib src main docs api client server config default value name "
-    "the and tion ing ent ion ness able from with that this have heit keit lich ung schaft mente ciones ation ment"
+    "password passwd passphrase secret token credential example sample dummy placeholder changeme your here test user admin root guest "
+    "version index image static release build number snapshot branch commit master main head tag "
+    "http https www com org net html xhtml json yaml xml csv data file files path paths home usr lib var etc opt src docs doc bin tmp "
+    "api client server service host port local remote config default value name node module package import export class object type "
+    "string integer null none true false required hidden public private protected function return method field table column row key "
+    "report document section chapter page article archive download upload content message request response session cache account "
+    "about after again also another because before being between both could does down each even every first found from great hand have "
+    "into just know large last like line little live long look made make many more most must name never next only other over part "
+    "people place point right same should show small some sound still such take than that their them then there these they thing "
+    "think this those three through time under very water well were what when where which while white will with word work world "
+    "would write year and the for not you all can had her was one our out day get has him his how man new now old see two way who "
+    "tion ness ment able ing ity ence ance ous ful less ship heit keit ung schaft lich mente aciones eur aux"
 ).split()
 SECRET_NAMES = r"(?i)(token|secret|api[_-]?key|apikey|passw|pwd|auth|bearer|credential|private[_-]?key|access[_-]?key|\bkey)"
 HASH_NAMES = r"(?i)(commit|sha-?1|sha-?256|md5|checksum|digest|uuid|guid|revision|integrity|etag|hash|fingerprint|example|sample)"
 #: Names that are candidates themselves.
 LONG_NAMES = ("AWS_SECRET_ACCESS_KEY", "aws_secret_access_key", "GITHUB_ACCESS_TOKEN", "database_password", "STRIPE_SECRET_API_KEY", "oauth_client_secret", "service-account-private-key")
+#: Findings that a forest is grown from, at most.
+FINDINGS = 20000
 KNOWN = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_|xox[abprs]-|sk-|sk_live_|glpat-|AIza|eyJ|-----BEGIN)"
 
 
@@ -73,11 +88,12 @@ def features(left: Column, value: Column, right: Column) -> Column:
         "named": yes(left.rlike(SECRET_NAMES + "[A-Za-z0-9_-]{0,24}[\"'`]?\\s{0,2}[=:]\\s{0,2}[\"'`]?$")),
         "hash_name": yes(left.rlike(HASH_NAMES) | right.rlike(HASH_NAMES)),
         "known": yes(value.rlike(KNOWN)),
+        "in_url": yes(left.rlike("://[^\\s/:@]+:$") & right.startswith("@")),
     }
     return F.struct(*[c.alias(k) for k, c in cols.items()])
 
 
-NAMES = ("length", "transitions", "digits", "upper", "hexadecimal", "distinct", "dictionary", "vowels", "marks", "path", "assigned", "secret_name", "named", "hash_name", "known")
+NAMES = ("length", "transitions", "digits", "upper", "hexadecimal", "distinct", "dictionary", "vowels", "marks", "path", "assigned", "secret_name", "named", "hash_name", "known", "in_url")
 
 
 def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
@@ -111,6 +127,10 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
                 lines = "\n".join(pick(alnum + "+/", 64) for _ in range(r.randint(1, 24)))
                 out.append({"left": before[-NEAR:], "value": f"-----BEGIN {kind}-----\n{head}{lines}\n-----END {kind}-----", "right": after[:NEAR], "y": 1})
                 continue
+            if r.random() < 0.08:
+                scheme = r.choice(["postgres", "mysql", "mongodb", "redis", "amqp", "https", "ftp"])
+                out.append({"left": f"{before} {scheme}://{word(1)}:"[-NEAR:], "value": r.choice([value, pick(alnum, r.randint(5, 14)), word(2) + pick("0123456789!", 3)]).replace("@", "").replace("/", ""), "right": f"@{word(2)}.example.com/{word(1)} {after}"[:NEAR], "y": 1})
+                continue
             if r.random() < 0.85 or not value.startswith(("AKIA", "ghp_", "sk-", "xoxb-", "glpat-")):
                 before += " " + name + r.choice([" = ", "=", ": ", ' = "', "='", ":", ' "'])
             out.append({"left": before[-NEAR:], "value": value, "right": after[:NEAR], "y": 1})
@@ -131,6 +151,7 @@ def labelled_findings(n: int = 2400, seed: int = 11) -> list[dict]:
                 lambda: (word(r.randint(2, 5)), r.choice(["token: ", "key: ", "password: ", "secret = ", "auth: ", "key=", 'password = "'])),
                 lambda: (r.choice(["string", "None", "null", "true", "false", "required", "hidden", "value", "example", "changeme", "os.environ", "config.key", "12345"]), r.choice(["token: ", "key: ", "password: ", "secret = ", "key=", 'password = "'])),
                 lambda: (word(2) + "." + str(r.randint(1, 99)) + "@mail.example.com".replace("@", "."), ""),
+                lambda: (r.choice(["8080", "5432/" + word(1), "443", "password", "xxxx"]), r.choice(["http://localhost:", "https://" + word(2) + ".example.com:"])),
             ])()
             out.append({"left": (before + " " + name)[-NEAR:], "value": value + "x" * max(0, 16 - len(value)) if not name else value, "right": after[:NEAR], "y": 0})
     return out
@@ -179,10 +200,19 @@ def compile_forest(forest: list, record: Column) -> Column:
     return out / len(forest)
 
 
+def load_findings(spark: SparkSession, path: str) -> list[dict]:
+    """Labelled findings from JSON lines (left, value, right, y); the first ``FINDINGS`` by hash, nulls as empty texts."""
+    rows = spark.read.schema("left string, value string, right string, y int").json(path).where("y IN (0, 1) AND value <> ''")
+    drawn = rows.orderBy(F.xxhash64("left", "value", "right"), "left", "value", "right").limit(FINDINGS)
+    return [{k: r[k] or "" for k in ("left", "value", "right")} | {"y": r["y"]} for r in drawn.collect()]
+
+
 def train(spark: SparkSession, findings: list[dict] | None = None) -> list:
     import numpy as np
 
     rows = findings if findings is not None else labelled_findings()
+    if len(rows) > FINDINGS:
+        raise ValueError(f"at most {FINDINGS} findings; draw a sample")
     literal = F.from_json(F.lit(json.dumps(rows)), "array<struct<left:string,value:string,right:string,y:int>>")
     got = spark.range(1).select(F.inline(literal)).select(features(F.col("left"), F.col("value"), F.col("right")).alias("f"), "y").collect()
     return grow(np.array([[r["f"][k] for k in NAMES] for r in got]), np.array([r["y"] for r in got], float))

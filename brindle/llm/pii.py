@@ -5,14 +5,17 @@ without a country code, written-out addresses, identity numbers, accounts, title
 judged: pattern, validity, gazetteer, context and boundary labelers each vote for, against or not at all;
 expectation-maximisation over all vote patterns of the corpus estimates how reliable
 each labeler is; the resulting soft labels train a logistic span classifier, which
-decides on every candidate by its votes and shape.
+decides on every candidate by its votes, its shape (length, share of digits, separators,
+capitals) and its place in the line, and by pairs of kind and vote.  Only candidates that it accepts compete for the
+text: where they overlap the earlier stays, of equal starts the longer.
 
 Texts are read once.  The vote patterns that reach the driver are bounded by
-construction (kinds x 3 ** 5 votes x 6 lengths x 4 digit shares), whatever the input.
+construction (10 kinds x 3 ** 5 votes x 6 lengths x 4 digit shares x 4 separators x 2 capitals x 3 places), whatever the input.
 
 Defined results: a null text is empty; spans are code points, end exclusive; spans
-of one kind never overlap, and an added span never overlaps a base one; repeated rows are
-searched one by one; texts are never cut, and every pattern takes linear time.
+of one kind never overlap, and an added span never overlaps another one; repeated rows are
+searched one by one; texts, names and addresses are never cut, and every pattern takes linear time; columns beyond doc_id and
+text do not matter; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -101,10 +104,11 @@ def candidate_finder():
         3: re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"),
         4: re.compile(r"(?<![0-9A-Za-z:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Za-z:-])"),
     }
-    spelled = re.compile(r"[A-Za-z0-9._-]{1,64}(?: ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]{1,63}(?:(?: ?[(\[]dot[)\]] ?| dot )[A-Za-z0-9-]{1,63}){1,4}")
+    # Names, hosts and words of any length; possessive, so that a run is tried once.
+    spelled = re.compile(r"(?<![A-Za-z0-9._-])[A-Za-z0-9._-]++(?: ?[(\[]at[)\]] ?| at )[A-Za-z0-9-]++(?:(?: ?[(\[]dot[)\]] ?| dot )[A-Za-z0-9-]++)+")
     dotted = re.compile(r"(?:[(\[]dot[)\]]| dot )")
-    # A title, then one or two capitalised words; the title's first letter keeps the scan cheap.
-    name = re.compile(r"\b(?:" + "|".join(TITLES) + r")\.? [A-ZÄÖÜÉÈÑ][a-zäöüßéèêñóíá]{1,30}(?: [A-ZÄÖÜÉÈÑ][a-zäöüßéèêñóíá]{1,30})?")
+    # A title, then one or two capitalised words.
+    name = re.compile(r"\b(?:" + "|".join(TITLES) + r")\.? [^\W\d_a-z][^\W\d_A-Z]++(?: [^\W\d_a-z][^\W\d_A-Z]++)?")
     digit = re.compile(r"[0-9]")
 
     def of(text: str) -> list[tuple[int, int, int]]:
@@ -121,7 +125,7 @@ def candidate_finder():
 
 
 def voter():
-    """A function (text, kind name, start, end) -> a key: kind, five votes, length class, digit class."""
+    """A function (text, kind name, start, end) -> a key: kind, five votes, classes of length, digits, separators, capitals and place."""
     import re
 
     near = re.compile("|".join(map(re.escape, FOR_WORDS)), re.IGNORECASE)
@@ -154,13 +158,19 @@ def voter():
         elif kind in ("email", "spelled_email"):
             listed = 1 if re.search(r"(?i)(com|org|net|edu|de|fr|es|io)$", s) else 0
         elif kind == "local_phone":
-            listed = 1 if "555" in s else 0
+            listed = 1 if s[0] in "(0" else 0  # an area code in brackets or behind a trunk prefix
         context = (1 if near.search(before) else 0) - (1 if far.search(before) else 0)
         glued = (a > 0 and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum())
+        if digits:  # figures beside it, one separator off, belong to one longer number
+            glued = glued or (a > 1 and text[a - 2].isdigit()) or (b + 1 < len(text) and text[b + 1].isdigit())
         votes = (pattern, valid(kind, s), listed, context, -1 if glued else 1 if not after or after[0] in " .,;:!?\n)\"'" else 0)
         length = min(5, len(s) // 8)
         share = 0 if not digits else 1 + min(2, 3 * digits // len(s))
-        return f"{kind}|{','.join(map(str, votes))}|{length}|{share}"
+        marks = 0 if s.isalnum() else 1 if " " not in s else 2 if s.replace(" ", "").isalnum() else 3
+        capitals = int(any(c.isupper() for c in s))
+        line = text.rfind("\n", 0, a) + 1
+        place = 0 if not text[line:a].strip() else 2 if before.rstrip().endswith((":", "=", "(", "<")) else 1
+        return f"{kind}|{','.join(map(str, votes))}|{length}|{share}|{marks}|{capitals}|{place}"
 
     return of
 
@@ -178,24 +188,17 @@ def reader():
             for t in batch.column("text").to_pylist():
                 t = t or ""
                 found = sorted(base(t))
-                taken = sorted((a, b) for _, a, b in found)
                 firsts.append([{"kind": BASE[k], "a": a, "b": b, "key": key(t, BASE[k], a, b)} for k, a, b in found])
-                free, i, out = 0, 0, []
-                for a, b, k in sorted((a, b, k) for k, a, b in more(t)):
-                    while i < len(taken) and taken[i][1] <= a:
-                        i += 1
-                    if a >= free and (i == len(taken) or taken[i][0] >= b):
-                        out.append({"kind": ADDED[k], "a": a, "b": b, "key": key(t, ADDED[k], a, b)})
-                        free = b
-                cands.append(out)
+                cands.append([{"kind": ADDED[k], "a": a, "b": b, "key": key(t, ADDED[k], a, b)} for k, a, b in more(t)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(firsts, span), pa.array(cands, span)], ["doc_id", "base", "cands"])
 
     return run
 
 
-def split_key(key: str) -> tuple[str, tuple[int, ...], int, int]:
-    kind, votes, length, share = key.split("|")
-    return kind, tuple(map(int, votes.split(","))), int(length), int(share)
+def split_key(key: str) -> tuple[str, tuple[int, ...], tuple[str, ...]]:
+    """Kind, votes, and the classes of shape and place."""
+    kind, votes, *shape = key.split("|")
+    return kind, tuple(map(int, votes.split(","))), tuple(shape)
 
 
 def reliabilities(counts: dict[str, int], rounds: int = 50) -> tuple[list[dict[int, tuple[float, float]]], dict[str, float]]:
@@ -230,9 +233,32 @@ def reliabilities(counts: dict[str, int], rounds: int = 50) -> tuple[list[dict[i
     return tables, post
 
 
+SHAPE = ("length", "share", "marks", "capitals", "place")
+
+
 def features(key: str) -> list[str]:
-    kind, votes, length, share = split_key(key)
-    return ["bias", f"kind={kind}", f"length={length}", f"share={share}", *[f"{n}={v}" for n, v in zip(LABELERS, votes, strict=True)]]
+    kind, votes, shape = split_key(key)
+    said = [f"{n}={v}" for n, v in zip(LABELERS, votes, strict=True)]
+    return ["bias", f"kind={kind}", *[f"{n}={v}" for n, v in zip(SHAPE, shape)], *said, *[f"{kind}&{x}" for x in said]]
+
+
+def free_of(base: list[dict], accepted: list[dict]) -> list[dict]:
+    """The accepted spans that overlap neither a base span nor one that comes before."""
+    from bisect import bisect_right
+
+    taken: list[list[int]] = []  # the base spans, merged
+    for a, b in sorted((x["a"], x["b"]) for x in base):
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
+    out, free = [], 0
+    for x in sorted(accepted, key=lambda x: (x["a"], -x["b"], x["kind"])):
+        before = bisect_right(taken, x["b"] - 1, key=lambda t: t[0])
+        if x["a"] >= free and (not before or taken[before - 1][1] <= x["a"]):
+            out.append(x)
+            free = x["b"]
+    return out
 
 
 def train(counts: dict[str, int], rounds: int = 400, rate: float = 0.5, decay: float = 0.01) -> dict[str, float]:
@@ -277,7 +303,7 @@ def decider(weights: dict[str, float], threshold: float):
             for base, cands in zip(b.column("base").to_pylist(), b.column("cands").to_pylist(), strict=True):
                 for i, k in enumerate(BASE):
                     out[i].append(sum(x["kind"] == k for x in base))
-                added = [x for x in cands if personal(x["key"])]
+                added = free_of(base, [x for x in cands if personal(x["key"])])
                 out[4].append(hashlib.sha256(said(base).encode()).hexdigest())
                 out[5].append(said(base + added))
                 out[6].append(len(added))

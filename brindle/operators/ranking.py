@@ -52,3 +52,14 @@ def weight_and_score_columns(df: DataFrame, keys: Sequence[str], columns: dict[s
     weights = {n: (F.col(f"{n}_lo") >= 0) & (F.col(f"{n}_hi") <= 1) & (F.abs(F.col(f"{n}_sum") - 1) <= tolerance) for n in columns}
     scores = {n: (F.col(f"{n}_hi") > 1) & (F.col(f"{n}_hi") <= 100) for n in columns}
     return wide.select(*keys, only(weights).alias("weight_column"), only(scores).alias("score_column"))
+
+
+def topic_statements(df: DataFrame, keys: Sequence[str], text: str, order: Sequence[str], topic: Column, rank: Column, reassuring: Column, limit: int) -> DataFrame:
+    """The best statement of every topic by rank, a reassuring one before others, then the first; ``limit`` topics a key.
+
+    Topics are aggregated before the shuffle, so only their best statements reach the window.
+    """
+    key = F.struct("rank", (~reassuring).alias("alarming"), *order, F.col(text).alias("text"))
+    best = df.withColumns({"topic": topic, "rank": rank}).groupBy(*keys, "topic").agg(F.min(key).alias("b"))
+    rows = best.select(*keys, "topic", F.col("b.text").alias(text), F.col("b.rank").alias("rank"))
+    return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy("rank", "topic"))).where(F.col("_place") <= limit).drop("_place")

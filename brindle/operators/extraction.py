@@ -95,10 +95,10 @@ def last_match(text: Column, pattern: str) -> Column:
 
 
 def stated_count(text: Column, none_words: str) -> Column:
-    """The sum of the numbers that a text states; 0 where it says there are none, null where it says nothing."""
-    found = F.regexp_extract_all(text, F.lit("[0-9]{1,9}"), F.lit(0))
-    total = F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
-    return F.when(F.size(found) > 0, total).when(text.rlike(none_words), F.lit(0).cast("long"))
+    """The sum of the numbers that a text states; 0 where it says there are none, null where it says nothing or more than a long holds."""
+    found = F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0))
+    total = F.aggregate(found, F.lit(0).cast("decimal(38,0)"), lambda a, x: (a + x.try_cast("decimal(37,0)")).try_cast("decimal(38,0)"))
+    return F.when(F.size(found) > 0, total.try_cast("long")).when(text.rlike(none_words), F.lit(0).cast("long"))
 
 
 def split_scopes(text: Column, scopes: list[str], value: str) -> Column:

@@ -56,16 +56,22 @@ def align_unique(manifest: DataFrame, found: DataFrame, key: str, strict: bool =
 def pair_entities(left: DataFrame, right: DataFrame, key: str, anchor: int = 6) -> DataFrame:
     """Left keys with a status: paired_exact, paired_fuzzy, ambiguous, duplicate or missing.
 
-    Exact keys pair first.  A key contained in another shares that key's leading ``anchor`` characters
-    somewhere inside it, so containment is an equality join on character windows, then verified.
+    Exact keys pair first.  A key contained in another shares that key's leading ``anchor`` characters (all
+    of a shorter one) somewhere inside it, so containment is an equality join on character windows of the
+    lengths that occur, then verified.
     """
     lk, rk = left.groupBy(key).agg(F.count("*").alias("n_left")), right.groupBy(key).agg(F.count("*").alias("n_right"))
     exact = lk.join(rk, key, "left")
-    rest = exact.where("n_right IS NULL").select(F.col(key).alias("l"))
-    windows = lambda c: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - anchor + 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(anchor)))))
-    r = rk.select(F.col(key).alias("r"))
-    inside = rest.select("l", F.left("l", F.lit(anchor)).alias("w")).join(r.select("r", windows(F.col("r")).alias("w")), "w").where(F.col("r").contains(F.col("l")))
-    around = rest.select("l", windows(F.col("l")).alias("w")).join(r.select("r", F.left("r", F.lit(anchor)).alias("w")), "w").where(F.col("l").contains(F.col("r")))
+    rest = exact.where(F.col("n_right").isNull() & (F.length(key) > 0)).select(F.col(key).alias("l"))
+    r = rk.where(F.length(key) > 0).select(F.col(key).alias("r"))
+
+    def windows(df: DataFrame, c: str, inner: DataFrame, i: str) -> DataFrame:
+        sizes = sorted(x[0] for x in inner.select(F.least(F.length(i), F.lit(anchor))).distinct().collect())  # at most ``anchor`` numbers
+        cut = lambda n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda k: F.substring(c, k, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+        return df.select(c, F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *[cut(n) for n in sizes]))).alias("w"))
+
+    inside = rest.select("l", F.left("l", F.lit(anchor)).alias("w")).join(windows(r, "r", rest, "l"), "w").where(F.col("r").contains(F.col("l")))
+    around = windows(rest, "l", r, "r").join(r.select("r", F.left("r", F.lit(anchor)).alias("w")), "w").where(F.col("l").contains(F.col("r")))
     fuzzy = inside.select("l", "r").union(around.select("l", "r")).distinct().groupBy("l").agg(F.count("*").alias("n_fuzzy")).withColumnRenamed("l", key)
     out = exact.join(fuzzy, key, "left")
     status = F.when(F.col("n_left") > 1, "duplicate").when(F.col("n_right") == 1, "paired_exact").when(F.col("n_right") > 1, "ambiguous").when(F.col("n_fuzzy") == 1, "paired_fuzzy").when(F.col("n_fuzzy") > 1, "ambiguous").otherwise("missing")
@@ -104,14 +110,15 @@ def containing(texts: DataFrame, needles: DataFrame, text_id: str, text: str, ne
     return joined.select(text_id, needle_id).distinct()
 
 
-def greedy_pairs(pairs: DataFrame, sample: str, gold: str, predicted: str, order: list[Column]) -> DataFrame:
+def greedy_pairs(pairs: DataFrame, sample: str | list[str], gold: str, predicted: str, order: list[Column]) -> DataFrame:
     """One-to-one pairs taken greedily in the given order within each sample, by a fold over used sides.
 
     A sample's candidate pairs meet in one row: they are the items of one document.
     """
+    by = [sample] if isinstance(sample, str) else sample
     keys = [c.alias(f"k{i}") for i, c in enumerate(order)]
-    listed = pairs.groupBy(sample).agg(F.sort_array(F.collect_list(F.struct(*keys, F.col(gold).alias("g"), F.col(predicted).alias("p")))).alias("c"))
+    listed = pairs.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(*keys, F.col(gold).alias("g"), F.col(predicted).alias("p")))).alias("c"))
     kind = "array<struct<g:bigint,p:bigint>>"
     free = lambda acc, x: ~F.exists(acc, lambda y: (y["g"] == x["g"]) | (y["p"] == x["p"]))
     fold = F.aggregate("c", F.array().cast(kind), lambda acc, x: F.when(free(acc, x), F.array_append(acc, F.struct(x["g"].cast("long").alias("g"), x["p"].cast("long").alias("p")))).otherwise(acc))
-    return listed.select(sample, F.inline(fold)).withColumnsRenamed({"g": gold, "p": predicted})
+    return listed.select(*by, F.inline(fold)).withColumnsRenamed({"g": gold, "p": predicted})

@@ -49,11 +49,16 @@ def budget_fold(items: Column, budget: int, cap: int, least_tail: int, most: int
     return F.aggregate(items, F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("used"), F.lit(False).alias("done")), step, lambda a: a["out"])
 
 
-def quota_reserve(df: DataFrame, key: list[str], section: str, quotas: dict, total: int, order: list[Column]) -> DataFrame:
-    """First each section's quota, then the best of the rest up to ``total`` rows a key."""
+def quota_reserve(df: DataFrame, key: list[str], section: str, quotas: dict | int, total: int, order: list[Column]) -> DataFrame:
+    """First each section's quota (one for all, or by section), then the best of the rest up to ``total`` rows a key.
+
+    Every section's own window comes first and drops what is beyond its quota and ``total``, so the final rank of a
+    key sees ``total`` rows of each section at most.
+    """
     inside = F.row_number().over(Window.partitionBy(*key, section).orderBy(*order))
-    quota = F.coalesce(*[F.when(F.col(section) == k, F.lit(v)) for k, v in quotas.items()], F.lit(0))
-    reserved = df.withColumn("reserved", inside <= quota)
+    quota = F.lit(quotas) if isinstance(quotas, int) else F.coalesce(*[F.when(F.col(section).eqNullSafe(F.lit(k)), F.lit(v)) for k, v in quotas.items()], F.lit(0))
+    local = df.withColumn("_r", inside).where(F.col("_r") <= F.greatest(F.lit(total), quota))
+    reserved = local.withColumn("reserved", F.col("_r") <= quota).drop("_r")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("reserved"), *order))
     return reserved.withColumn("rank", rank).where(F.col("rank") <= total)
 

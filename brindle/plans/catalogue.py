@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import classify, text
-from brindle.operators import extraction, matching, quality, ranking, selection, sequence
+from brindle.operators import extraction, matching, quality, ranking, scoring, selection, sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -100,7 +100,7 @@ def redact(spark, d):
     return load(spark, d, "pages").select("page_id", text.redact_paths(F.col("url")).alias("safe_url"))
 
 
-@query("SELECT page_id, 'page:' || left(sha256(page_id::VARCHAR || '|' || url), 20) AS id FROM pages")
+@query("""SELECT page_id, 'page:' || left(sha256('["' || page_id::VARCHAR || '","' || url || '"]'), 20) AS id FROM pages""")
 def stable_id(spark, d):
     return load(spark, d, "pages").select("page_id", text.stable_id("page", F.col("page_id"), F.col("url")).alias("id"))
 
@@ -110,10 +110,12 @@ def shorten(spark, d):
     return load(spark, d, "benchmark").select("item_id", text.shorten(F.col("text"), 80).alias("short"))
 
 
-@query("SELECT doc_id, len(t)::BIGINT AS n_tokens, len(list_distinct(t))::BIGINT AS n_distinct FROM (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents)")
+FACT_TOKENS = lambda x: f"(CASE WHEN {x} = '' THEN [] WHEN len(regexp_extract_all({x}, '[a-z0-9]+(?:[._/-][a-z0-9]+)*|[\u3400-\u9fff]+')) = 0 THEN [{x}] ELSE regexp_extract_all({x}, '[a-z0-9]+(?:[._/-][a-z0-9]+)*|[\u3400-\u9fff]+') END)"  # noqa: E731  the tables hold no ideographs, whose runs would be cut into pairs
+
+
+@query(f"WITH n AS (SELECT doc_id, {FOLDED} AS n FROM documents) SELECT doc_id, len(t)::BIGINT AS n_tokens, len(list_distinct(t))::BIGINT AS n_distinct FROM (SELECT doc_id, {FACT_TOKENS('n')} AS t FROM n)")
 def fact_tokens(spark, d):
-    # Over ASCII text in lower case, tokens are runs of letters and digits.
-    x = load(spark, d, "documents").select("doc_id", F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0)).alias("t"))
+    x = load(spark, d, "documents").select("doc_id", text.fact_tokens(text.normalize_text(F.col("text"))).alias("t"))
     return x.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.size(F.array_distinct("t")).cast("long").alias("n_distinct"))
 
 
@@ -215,7 +217,7 @@ f AS (SELECT l.key, count(DISTINCT r.key) AS nf FROM l JOIN r ON contains(l.key,
 SELECT l.key, CASE WHEN nl > 1 THEN 'duplicate' WHEN nr = 1 THEN 'paired_exact' WHEN nr > 1 THEN 'ambiguous' WHEN nf = 1 THEN 'paired_fuzzy' WHEN nf > 1 THEN 'ambiguous' ELSE 'missing' END AS status FROM l LEFT JOIN r ON l.key = r.key LEFT JOIN f ON l.key = f.key""")
 def pair_entities(spark, d):
     left, right = _names(spark, d)
-    return matching.pair_entities(left, right, "key", anchor=1)
+    return matching.pair_entities(left, right, "key")
 
 
 @query("""SELECT url, any_value(n)::BIGINT AS n_found, CASE any_value(n) WHEN 0 THEN 'missing' WHEN 1 THEN 'aligned' ELSE 'ambiguous' END AS status FROM (SELECT p.url, count(f.url) AS n FROM (SELECT DISTINCT url FROM pages) p LEFT JOIN (SELECT url FROM pages WHERE page_id % 7 <> 0) f ON p.url = f.url GROUP BY 1) GROUP BY 1""")
@@ -230,10 +232,10 @@ def full_outer_align(spark, d):
     return matching.full_outer_align(load(spark, d, "documents").where("doc_id % 11 <> 0"), load(spark, d, "labels"), "doc_id")
 
 
-@query("""WITH a AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[a-z]{8,}')) AS t FROM benchmark), b AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{8,}')) AS t FROM documents),
+@query("""WITH a AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS t FROM benchmark), b AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS t FROM documents),
 s AS (SELECT item_id, doc_id, count(*) AS shared FROM a JOIN b USING (t) GROUP BY ALL) SELECT item_id, doc_id, shared, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id)::INT AS rank FROM s QUALIFY rank <= 3""")
 def best_match(spark, d):
-    tokens = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{8,}"), F.lit(0)).alias("tokens")
+    tokens = F.regexp_extract_all(F.lower("text"), F.lit("[\\p{L}\\p{N}]+"), F.lit(0)).alias("tokens")
     return matching.best_match(load(spark, d, "benchmark").select("item_id", tokens), load(spark, d, "documents").select("doc_id", tokens), "item_id", "doc_id", "tokens", 3)
 
 
@@ -283,47 +285,42 @@ def map_field_score(spark, d):
     c = load(spark, d, "customer")
     gold = c.select("c_custkey", F.explode(F.create_map(F.lit("name"), "c_name", F.lit("segment"), "c_mktsegment", F.lit("balance"), F.col("c_acctbal").cast("decimal(18,2)").cast("string"))).alias("field", "v"))
     pred = gold.where(~((F.col("field") == "segment") & (F.col("c_custkey") % 4 == 0))).withColumn("v", F.when(F.col("c_custkey") % 9 == 0, F.concat("v", F.lit("!"))).otherwise(F.col("v"))).withColumnRenamed("v", "w")
-    m = gold.join(pred, ["c_custkey", "field"], "full")
-    same, has = F.col("v") == F.col("w"), lambda c: F.col(c).isNotNull()
-    differs = ~F.coalesce(same, F.lit(False))
-    return m.groupBy("field").agg(F.count_if(same).alias("tp"), F.count_if(has("w") & differs).alias("fp"), F.count_if(has("v") & differs).alias("fn"))
+    return scoring.map_counts(gold, pred.withColumnRenamed("w", "v"), ["c_custkey"], "field", "v")
 
 
-FACTS_SQL = """WITH f AS (SELECT conv_id, turn, role, regexp_extract_all(lower(text), '[a-z]{4,}') AS ts FROM conversations), t AS (SELECT conv_id, turn, role, unnest(ts) AS w FROM f), c AS (SELECT conv_id, turn, role, w, count(*) AS n FROM t GROUP BY ALL),
-z AS (SELECT conv_id, turn, sum(n) AS total FROM c GROUP BY ALL)"""
+FACTS_SQL = f"""WITH f AS (SELECT conv_id, turn, role, {FACT_TOKENS("n")} AS ts FROM (SELECT conv_id, turn, role, {FOLDED} AS n FROM conversations)), t AS (SELECT conv_id, turn, role, unnest(ts) AS w FROM f), c AS (SELECT conv_id, turn, role, w, count(*) AS n FROM t GROUP BY ALL),
+z AS (SELECT conv_id, turn, sum(n) AS total FROM c GROUP BY ALL),
+pr AS (SELECT g.conv_id, g.turn AS gold_turn, p.turn AS pred_turn, sum(least(g.n, p.n))::BIGINT AS shared, 2 * sum(least(g.n, p.n)) / (any_value(a.total) + any_value(b.total)) AS dice
+FROM c g JOIN c p ON g.conv_id = p.conv_id AND g.w = p.w AND g.role = 'user' AND p.role = 'assistant' JOIN z a ON a.conv_id = g.conv_id AND a.turn = g.turn JOIN z b ON b.conv_id = p.conv_id AND b.turn = p.turn GROUP BY 1, 2, 3)"""
+#: One-to-one pairs in a given order as a fold: the accumulator is a list of pairs, and so is every element.
+GREEDY_SQL = "list_reduce(list_prepend([]::STRUCT(g BIGINT, p BIGINT)[], {items}), lambda a, e: CASE WHEN len(list_filter(a, lambda y: y.g = e[1].g OR y.p = e[1].p)) > 0 THEN a ELSE list_concat(a, e) END)"
 
 
-def _fact_pairs(spark, d):
-    x = load(spark, d, "conversations").select("conv_id", "turn", "role", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
-    c = x.groupBy("conv_id", "turn", "role", "w").agg(F.count("*").alias("n"))
-    z = c.groupBy("conv_id", "turn").agg(F.sum("n").alias("total"))
-    g = c.where("role = 'user'").select("conv_id", F.col("turn").alias("gold_turn"), "w", F.col("n").alias("gn"))
-    p = c.where("role = 'assistant'").select("conv_id", F.col("turn").alias("pred_turn"), "w", F.col("n").alias("pn"))
-    shared = g.join(p, ["conv_id", "w"]).groupBy("conv_id", "gold_turn", "pred_turn").agg(F.sum(F.least("gn", "pn")).alias("shared"))
-    zg, zp = z.withColumnsRenamed({"turn": "gold_turn", "total": "gt"}), z.withColumnsRenamed({"turn": "pred_turn", "total": "pt"})
-    return shared.join(zg, ["conv_id", "gold_turn"]).join(zp, ["conv_id", "pred_turn"]).withColumn("dice", 2 * F.col("shared") / (F.col("gt") + F.col("pt")))
+def _facts(spark, d):
+    c = load(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    return c.where("role = 'user'"), c.where("role = 'assistant'")
 
 
-@query(FACTS_SQL + """SELECT g.conv_id, g.turn AS gold_turn, p.turn AS pred_turn, sum(least(g.n, p.n))::BIGINT AS shared, round(2 * sum(least(g.n, p.n)) / (any_value(a.total) + any_value(b.total)), 6) AS dice
-FROM c g JOIN c p ON g.conv_id = p.conv_id AND g.w = p.w AND g.role = 'user' AND p.role = 'assistant' JOIN z a ON a.conv_id = g.conv_id AND a.turn = g.turn JOIN z b ON b.conv_id = p.conv_id AND b.turn = p.turn GROUP BY 1, 2, 3""")
+@query(FACTS_SQL + " SELECT conv_id, gold_turn, pred_turn, shared, round(dice, 6) AS dice FROM pr")
 def fact_pair_dice(spark, d):
-    return _fact_pairs(spark, d).select("conv_id", "gold_turn", "pred_turn", "shared", F.round("dice", 6).alias("dice"))
+    pairs = scoring.fact_pairs(*_facts(spark, d), ["conv_id"], "turn", "text")
+    return pairs.select("conv_id", F.col("gold_item").alias("gold_turn"), F.col("predicted_item").alias("pred_turn"), "shared", F.round("dice", 6).alias("dice"))
+
 
+FACT_FOLD = FACTS_SQL + f""", l AS (SELECT conv_id, {GREEDY_SQL.format(items="list([{'g': gold_turn, 'p': pred_turn}] ORDER BY dice DESC, shared DESC, gold_turn, pred_turn)")} AS ps FROM pr GROUP BY 1), ch AS (SELECT conv_id, unnest(ps) AS q FROM l)"""
 
-@query()
+
+@query(FACT_FOLD + " SELECT conv_id, q.g AS gold_turn, q.p AS pred_turn FROM ch")
 def fact_greedy_score(spark, d):
-    return matching.greedy_pairs(_fact_pairs(spark, d), "conv_id", "gold_turn", "pred_turn", [-F.col("dice"), -F.col("shared"), F.col("gold_turn"), F.col("pred_turn")])
+    pairs = scoring.fact_pairs(*_facts(spark, d), ["conv_id"], "turn", "text")
+    out = matching.greedy_pairs(pairs, "conv_id", "gold_item", "predicted_item", [-F.col("dice"), -F.col("shared"), F.col("gold_item"), F.col("predicted_item")])
+    return out.withColumnsRenamed({"gold_item": "gold_turn", "predicted_item": "pred_turn"})
 
 
-@query()
-def tolerant_row_diag(spark, d):
-    """Tolerant pairing of a customer's orders with altered ones: gold order first, then equal fields."""
-    o = load(spark, d, "orders")
-    gold = o.select("o_custkey", F.col("o_orderkey").alias("gold_id"), "o_orderstatus", "o_orderpriority", F.to_date("o_orderdate").alias("day"))
-    pred = o.where("o_orderkey % 7 <> 0").select("o_custkey", F.col("o_orderkey").alias("pred_id"), F.col("o_orderstatus").alias("s2"), F.when(F.col("o_orderkey") % 5 == 0, "1-URGENT").otherwise(F.col("o_orderpriority")).alias("p2"), F.to_date("o_orderdate").alias("day"))
-    agree = (F.col("o_orderstatus") == F.col("s2")).cast("int") + (F.col("o_orderpriority") == F.col("p2")).cast("int")
-    pairs = gold.join(pred, ["o_custkey", "day"]).withColumn("agree", agree)
-    return matching.greedy_pairs(pairs, "o_custkey", "gold_id", "pred_id", [F.col("gold_id"), -F.col("agree"), F.col("pred_id")])
+@query(FACT_FOLD + """, tp AS (SELECT ch.conv_id, sum(shared)::BIGINT AS tp FROM ch JOIN pr ON pr.conv_id = ch.conv_id AND gold_turn = q.g AND pred_turn = q.p GROUP BY 1), s AS (SELECT conv_id, sum(CASE WHEN role = 'user' THEN len(ts) ELSE 0 END)::BIGINT AS g, sum(CASE WHEN role = 'assistant' THEN len(ts) ELSE 0 END)::BIGINT AS p FROM f WHERE role IN ('user', 'assistant') GROUP BY 1)
+SELECT s.conv_id, coalesce(tp, 0)::BIGINT AS tp, p - coalesce(tp, 0)::BIGINT AS fp, g - coalesce(tp, 0)::BIGINT AS fn FROM s LEFT JOIN tp ON tp.conv_id = s.conv_id""")
+def fact_counts(spark, d):
+    return scoring.fact_counts(*_facts(spark, d), ["conv_id"], "turn", "text")
 
 
 # ---- selection
@@ -364,7 +361,16 @@ def budget_select(spark, d):
     return selection.budget_select(x, ["doc_id"], ["item_no"], F.length("item"), 250).select("doc_id", "item_no", "used")
 
 
-@query()
+BUDGET_CELL = "{{'out': {o}, 'used': {u}, 'done': {d}, 'x': {x}}}"
+BUDGET_TAKES = "(NOT a.done AND len(a.out) < 4 AND (least(length(e.x), 180) <= 250 - a.used OR 250 - a.used >= 24))"
+BUDGET_KEPT = "left(left(e.x, 180), greatest(CASE WHEN least(length(e.x), 180) <= 250 - a.used THEN 180 ELSE 250 - a.used END, 0))"
+BUDGET_STEP = BUDGET_CELL.format(o=f"CASE WHEN {BUDGET_TAKES} THEN list_append(a.out, {BUDGET_KEPT}) ELSE a.out END", u=f"a.used + CASE WHEN {BUDGET_TAKES} THEN length({BUDGET_KEPT}) ELSE 0 END", d=f"a.done OR NOT ({BUDGET_TAKES} AND least(length(e.x), 180) <= 250 - a.used)", x="e.x")
+BUDGET_START = BUDGET_CELL.format(o="[]::VARCHAR[]", u="0::BIGINT", d="false", x="''")
+BUDGET_ITEM = BUDGET_CELL.format(o="[]::VARCHAR[]", u="0::BIGINT", d="false", x="v")
+
+
+@query(f"""WITH i AS (SELECT doc_id, list_filter(string_split(text, '. '), lambda x: trim(x, ' ') <> '') AS items FROM documents)
+SELECT doc_id, array_to_string(list_reduce(list_prepend({BUDGET_START}, list_transform(items, lambda v: {BUDGET_ITEM})), lambda a, e: {BUDGET_STEP}).out, '. ') AS summary FROM i""")
 def budget_fold(spark, d):
     """The order-dependent budget: capped sentences, a cut tail, at most four."""
     items = F.filter(F.split("text", "\\. "), lambda x: F.trim(x) != "")
@@ -375,8 +381,7 @@ def budget_fold(spark, d):
 SELECT vec_id, label, reserved, row_number() OVER (ORDER BY reserved DESC, x DESC, vec_id)::INT AS rank FROM r QUALIFY rank <= 40""")
 def quota_reserve(spark, d):
     x = load(spark, d, "embeddings").select("vec_id", "label", F.col("embedding")[0].alias("x"), F.lit(1).alias("one"))
-    quotas = {r[0]: 2 for r in x.select("label").distinct().limit(1000).collect()}
-    return selection.quota_reserve(x, ["one"], "label", quotas, 40, [F.desc("x"), F.col("vec_id")]).select("vec_id", "label", "reserved", "rank")
+    return selection.quota_reserve(x, ["one"], "label", 2, 40, [F.desc("x"), F.col("vec_id")]).select("vec_id", "label", "reserved", "rank")
 
 
 @query("SELECT md5(text) AS text_md5, min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text")
@@ -384,7 +389,9 @@ def exact_dedupe(spark, d):
     return selection.exact_dedupe(load(spark, d, "documents"), ["text"], ["doc_id"]).select(F.md5("text").alias("text_md5"), "doc_id", "n_copies")
 
 
-@query()
+@query("""WITH i AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[.\n] *'), lambda x: x <> '') AS items FROM documents),
+k AS (SELECT doc_id, items, list_reduce(list_prepend([]::VARCHAR[], list_transform(items, lambda v: [v])), lambda a, e: CASE WHEN len(list_filter(a, lambda y: y = e[1] OR (length(y) >= 8 AND length(e[1]) >= 8 AND (contains(y, e[1]) OR contains(e[1], y))))) > 0 THEN a ELSE list_concat(a, e) END) AS kept FROM i)
+SELECT doc_id, len(items)::BIGINT AS n_items, len(kept)::BIGINT AS n_kept FROM k""")
 def containment_dedupe(spark, d):
     items = F.filter(F.split(F.lower("text"), "[.\n] *"), lambda x: x != "")
     kept = selection.containment_fold(items, 8)
@@ -616,7 +623,7 @@ def last_match(spark, d):
     return load(spark, d, "pages").select("page_id", extraction.last_match(F.col("url"), "/([a-z0-9-]+)").alias("last_part"))
 
 
-@query("""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '[0-9]') THEN list_sum(list_transform(regexp_extract_all(text, '[0-9]{1,9}'), lambda x: x::BIGINT))::BIGINT
+@query("""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '[0-9]') THEN list_sum(list_transform(regexp_extract_all(text, '[0-9]+'), lambda x: x::HUGEINT))::BIGINT
 WHEN regexp_matches(text, 'none|no ') THEN 0 END AS stated FROM conversations""")
 def stated_count(spark, d):
     return load(spark, d, "conversations").select("conv_id", "turn", extraction.stated_count(F.col("text"), "none|no ").alias("stated"))
@@ -662,12 +669,12 @@ def judge_decisions(spark, d):
     return quality.judge_decisions(candidates, decisions, "c_custkey", "allowed", "evidence")
 
 
-@query("""WITH t AS (SELECT conv_id, turn, role, unnest(regexp_extract_all(text, '[a-z]{9,}')) AS token FROM conversations)
+@query("""WITH t AS (SELECT conv_id, turn, role, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}]+')) AS token FROM conversations)
 SELECT DISTINCT conv_id, turn, token FROM t WHERE role = 'assistant' AND NOT EXISTS (SELECT 1 FROM t u WHERE u.role = 'user' AND u.conv_id = t.conv_id AND u.token = t.token)""")
 def unsupported_tokens(spark, d):
     c = load(spark, d, "conversations")
     said = c.where("role = 'assistant'").select("conv_id", "turn", "text")
-    return quality.unsupported_tokens(said, c.where("role = 'user'"), ["conv_id"], "text", "[a-z]{9,}", "token").select("conv_id", "turn", "token")
+    return quality.unsupported_tokens(said, c.where("role = 'user'"), ["conv_id"], "text", "[\\p{L}\\p{N}]+", "token").select("conv_id", "turn", "token")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN year(e) || '年' || month(e) || '月' || day(e) || '日' END AS day

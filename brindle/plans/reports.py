@@ -217,7 +217,7 @@ FILES = ("养护一所-东湖大桥（原B现C）检测报告.docx", "./a/b/南
 FILE, FILE_SQL = pick(FILES, "s_suppkey")
 
 
-@query(f"""WITH k AS (SELECT s_suppkey, trim(regexp_replace({FILE_SQL}, '[\s\u00a0]+', ' ', 'g')) AS f FROM supplier), e AS (SELECT *, regexp_replace(f, '([ _．。-]*({"|".join(V.LABEL_ENDINGS)}))+$', '') AS g FROM k)
+@query(f"""WITH k AS (SELECT s_suppkey, trim(regexp_replace({FILE_SQL}, '[\\s\u00a0]+', ' ', 'g')) AS f FROM supplier), e AS (SELECT *, regexp_replace(f, '([ _．。-]*({"|".join(V.LABEL_ENDINGS)}))+$', '') AS g FROM k)
 SELECT s_suppkey, regexp_replace(lower(CASE WHEN g <> f THEN trim(g, ' -_．。') ELSE f END), '[^0-9a-z\u4e00-\u9fff]+', '', 'g') AS key FROM e""")
 def file_name_key(spark, d):
     return load(spark, d, "supplier").select("s_suppkey", R.name_key(FILE).alias("key"))

@@ -63,3 +63,27 @@ def topic_statements(df: DataFrame, keys: Sequence[str], text: str, order: Seque
     best = df.withColumns({"topic": topic, "rank": rank}).groupBy(*keys, "topic").agg(F.min(key).alias("b"))
     rows = best.select(*keys, "topic", F.col("b.text").alias(text), F.col("b.rank").alias("rank"))
     return rows.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy("rank", "topic"))).where(F.col("_place") <= limit).drop("_place")
+
+
+def counts_zero_filled(dimension: DataFrame, facts: DataFrame, key: str, kind: str, kinds: Sequence[str]) -> DataFrame:
+    """Every row of ``dimension`` with each of the ``kinds`` and its number of facts, zeros included."""
+    counts = facts.groupBy(key, kind).agg(F.count("*").alias("n"))
+    grid = dimension.withColumn(kind, F.explode(F.array(*[F.lit(k) for k in kinds])))
+    return grid.join(counts, [key, kind], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+
+
+def file_statistics(files: DataFrame, by: Column, content: str) -> DataFrame:
+    """(by, n_files, n_bytes, longest) of files."""
+    return files.groupBy(by).agg(F.count("*").alias("n_files"), F.sum(F.octet_length(content)).cast("long").alias("n_bytes"), F.max(F.length(content)).cast("long").alias("longest"))
+
+
+def state_matrix(df: DataFrame, row: str, state: str, states: Sequence[str]) -> DataFrame:
+    """One row a value of ``row`` with the number of each state."""
+    return df.groupBy(row).pivot(state, list(states)).count().fillna(0)
+
+
+def dominant_value(df: DataFrame, key: str, value: str, percent: int = 80) -> DataFrame:
+    """(key, dominant, n, warns): each key's most frequent value, ties to the smaller, and whether it has ``percent`` of the rows."""
+    c = df.groupBy(key, value).agg(F.count("*").alias("n"))
+    top = c.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("n"), value)).alias("b"), F.sum("n").alias("total"))
+    return top.select(key, F.col(f"b.{value}").alias("dominant"), (-F.col("b.n")).alias("n"), (-100 * F.col("b.n") >= percent * F.col("total")).alias("warns"))

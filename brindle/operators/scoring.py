@@ -158,10 +158,10 @@ def row_counts(pairs: DataFrame, sample: str) -> DataFrame:
 
 
 def bucketed(counts: DataFrame, bucket: Column, others: list[str], sums: list[str], bounds_name: str = "bucket") -> DataFrame:
-    """Sums by bucket, by each other label and over all, as grouping sets of one pass; ``n`` is the number of records."""
+    """Sums by bucket, by each other label and over all, as grouping sets of one pass; ``n_records`` is the number of records."""
     x = counts.withColumn(bounds_name, bucket)
     keys = [F.col(bounds_name), *[F.col(o) for o in others]]
-    return x.groupingSets([*[[k] for k in keys], []], *keys).agg(F.count("*").alias("n"), *[F.sum(s).alias(s) for s in sums])
+    return x.groupingSets([*[[k] for k in keys], []], *keys).agg(F.count("*").alias("n_records"), *[F.sum(s).alias(s) for s in sums])
 
 
 def size_bucket(n: Column, bounds: tuple[int, ...] = (0, 10, 50)) -> Column:

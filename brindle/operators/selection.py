@@ -77,28 +77,3 @@ def containment_fold(items: Column, least: int) -> Column:
     long = lambda a, b: (F.length(a) >= least) & (F.length(b) >= least)
     same = lambda a, b: (a == b) | (long(a, b) & (a.contains(b) | b.contains(a)))
     return F.aggregate(items, F.array().cast("array<string>"), lambda acc, x: F.when(F.exists(acc, lambda y: same(x, y)), acc).otherwise(F.array_append(acc, x)))
-
-
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine in double precision; 0 where a vector has no length."""
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    n = norm(a) * norm(b)
-    return F.when(n > 0, dot / n).otherwise(F.lit(0.0))
-
-
-def top_cosine(index: DataFrame, queries: DataFrame, k: int, admit: Column | None = None, blocks: int = 32) -> DataFrame:
-    """(query_id, vec_id, score, rank) of the best admitted entries.
-
-    Queries meet the index in blocks: both sides are keyed by block, so the work spreads evenly; only the best
-    of each block go on to the final ranking.
-    """
-    i = index.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    q = queries.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    met = i.join(q, "_b")
-    met = met if admit is None else met.where(admit)
-    scored = met.withColumn("score", F.round(cosine(F.col("embedding"), F.col("query_embedding")), 6))
-    local = Window.partitionBy("query_id", "_b").orderBy(F.desc("score"), "vec_id")
-    best = scored.withColumn("_r", F.row_number().over(local)).where(F.col("_r") <= k).drop("_r", "embedding", "query_embedding")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("_b")

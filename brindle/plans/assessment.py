@@ -110,7 +110,7 @@ SELECT bucket, facility, count(*) AS n, sum(lost)::BIGINT AS lost FROM b GROUP B
 def bucket_summary(spark, d):
     k = _row_pairs(spark, d).groupBy("doc").agg(F.count_if(F.col("gold_no").isNotNull()).alias("n_gold"), F.count_if(F.col("predicted_no").isNull()).alias("lost"))
     x = k.withColumn("facility", F.when(F.col("doc") % 2 == 0, "bridge").otherwise("tunnel"))
-    return scoring.bucketed(x, scoring.size_bucket(F.col("n_gold")), ["facility"], ["lost"])
+    return scoring.bucketed(x, scoring.size_bucket(F.col("n_gold")), ["facility"], ["lost"]).withColumnRenamed("n_records", "n")
 
 
 @query("WITH x AS (SELECT user_id, event_type AS k, event_id % 4 AS n FROM events WHERE event_type IS NOT NULL), s AS (SELECT user_id, k, sum(n)::BIGINT AS n FROM x GROUP BY 1, 2) SELECT user_id, string_agg(k || '=' || n, ',' ORDER BY k) AS counts FROM s GROUP BY 1")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.functions import classify, text
-from brindle.operators import extraction, matching, quality, ranking, scoring, selection, sequence
+from brindle.operators import extraction, matching, quality, ranking, retrieval, scoring, selection, sequence
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -398,41 +398,39 @@ def containment_dedupe(spark, d):
     return load(spark, d, "documents").select("doc_id", F.size(items).cast("long").alias("n_items"), F.size(kept).cast("long").alias("n_kept"))
 
 
-def _top_cosine(spark, d, admit, k=6):
-    e = load(spark, d, "embeddings").select("vec_id", "embedding", "label")
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"), F.col("label").alias("query_label"))
-    return selection.top_cosine(e, q, k, admit)
+def _top_cosine(spark, d, admit, k=6, index=None):
+    e = load(spark, d, "embeddings").select(F.col("vec_id").alias("entry_id"), "embedding", "label")
+    q = e.where("entry_id % 50 = 0").select(F.col("entry_id").alias("query_id"), F.col("embedding").alias("query_embedding"), F.col("label").alias("query_label"))
+    hits = retrieval.best(retrieval.scored(e if index is None else e.where(index), q, admit), ["query_id"], k)
+    return hits.select("query_id", F.col("entry_id").alias("vec_id"), "label", F.round("score", 6).alias("score"), "rank")
 
 
-COSINE = """SELECT q.vec_id AS query_id, c.vec_id, c.label, q.label AS query_label, round(list_inner_product(q.e, c.e) / (sqrt(list_inner_product(q.e, q.e)) * sqrt(list_inner_product(c.e, c.e))), 6) AS score
+COSINE = """SELECT q.vec_id AS query_id, c.vec_id, c.label, q.label AS query_label, list_inner_product(q.e, c.e) / (sqrt(list_inner_product(q.e, q.e)) * sqrt(list_inner_product(c.e, c.e))) AS s
 FROM (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings) q JOIN (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings) c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id"""
+OTHER = F.col("entry_id") != F.col("query_id")
 
 
-@query(f"WITH s AS ({COSINE}) SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s QUALIFY rank <= 6")
+@query(f"WITH s AS ({COSINE}) SELECT query_id, vec_id, round(s, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id)::INT AS rank FROM s QUALIFY rank <= 6")
 def cosine_topk(spark, d):
-    return _top_cosine(spark, d, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", "score", "rank")
+    return _top_cosine(spark, d, OTHER).drop("label")
 
 
-@query(f"WITH s AS ({COSINE}) SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s WHERE vec_id % 2 = 1 AND label <> query_label QUALIFY rank <= 6")
+@query(f"WITH s AS ({COSINE}) SELECT query_id, vec_id, round(s, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id)::INT AS rank FROM s WHERE vec_id % 2 = 1 AND label <> query_label QUALIFY rank <= 6")
 def cosine_topk_filtered(spark, d):
-    return _top_cosine(spark, d, (F.col("vec_id") != F.col("query_id")) & (F.col("vec_id") % 2 == 1) & (F.col("label") != F.col("query_label"))).select("query_id", "vec_id", "score", "rank")
+    return _top_cosine(spark, d, OTHER & (F.col("label") != F.col("query_label")), index="entry_id % 2 = 1").drop("label")
 
 
 @query(f"""WITH s AS ({COSINE}), t AS (SELECT *, CASE WHEN label % 3 = 0 THEN 'knowledge' WHEN label % 3 = 1 THEN 'label' ELSE 'report' END AS source FROM s),
-n AS (SELECT *, row_number() OVER (PARTITION BY query_id, source ORDER BY score DESC, vec_id) AS r FROM t)
-SELECT query_id, vec_id, source, score, row_number() OVER (PARTITION BY query_id ORDER BY source, r)::INT AS rank FROM n WHERE r <= CASE source WHEN 'knowledge' THEN 3 WHEN 'label' THEN 2 ELSE 1 END QUALIFY rank <= 6""")
+n AS (SELECT *, row_number() OVER (PARTITION BY query_id, source ORDER BY s DESC, vec_id) AS r FROM t)
+SELECT query_id, vec_id, source, round(s, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY source, r)::INT AS rank FROM n WHERE r <= CASE source WHEN 'knowledge' THEN 3 WHEN 'label' THEN 2 ELSE 1 END QUALIFY rank <= 6""")
 def retrieve_quota_fallback(spark, d):
     """Quota retrieval without a reranker: each source's best, in source order rather than score order."""
-    out = []
-    e = load(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    e = load(spark, d, "embeddings")
+    kind = F.get(F.array(F.lit("knowledge"), F.lit("label"), F.lit("report")), F.col("label") % 3)
+    index = e.select(F.col("vec_id").alias("entry_id"), "embedding", kind.alias("kind"))
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
-    for i, (name, n) in enumerate((("knowledge", 3), ("label", 2), ("report", 1))):
-        best = selection.top_cosine(e.where(F.col("label") % 3 == i), q, n, F.col("vec_id") != F.col("query_id"))
-        out.append(best.select("query_id", "vec_id", F.lit(name).alias("source"), "score", F.col("rank").alias("_r")))
-    union = out[0].unionByName(out[1]).unionByName(out[2])
-    from pyspark.sql.window import Window
-
-    return union.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("source", "_r"))).where("rank <= 6").drop("_r")
+    out = retrieval.retrieve(index, q, OTHER, top_k=6, quotas={"knowledge": 3, "label": 2, "report": 1})
+    return out.select("query_id", F.col("entry_id").alias("vec_id"), F.col("kind").alias("source"), F.round("score", 6).alias("score"), "rank")
 
 
 # ---- aggregation and reports
@@ -444,25 +442,23 @@ SELECT bucket, segment, count(*) AS n_customers, sum(n)::BIGINT AS n_orders, sum
 def bucket_rollup(spark, d):
     c = load(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"))
     b = c.join(load(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment")), "o_custkey")
-    b = b.withColumn("bucket", F.when(F.col("n") <= 5, "1-5").when(F.col("n") <= 10, "6-10").otherwise("11+"))
-    keys = [F.col("bucket"), F.col("segment")]
-    return b.groupingSets([[keys[0]], [keys[1]], []], *keys).agg(F.count("*").alias("n_customers"), F.sum("n").alias("n_orders"), F.sum("total").cast("decimal(28,2)").alias("total"))
+    b = b.withColumns({"bucket": F.lit(0), "_bucket": F.when(F.col("n") <= 5, "1-5").when(F.col("n") <= 10, "6-10").otherwise("11+")})
+    out = scoring.bucketed(b.drop("bucket"), F.col("_bucket"), ["segment"], ["n", "total"])
+    return out.select("bucket", "segment", F.col("n_records").alias("n_customers"), F.col("n").alias("n_orders"), F.col("total").cast("decimal(28,2)").alias("total"))
 
 
-@query("""SELECT n_name, p.o_orderpriority, count(o.o_orderkey) AS n FROM nation CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'HOUSEHOLD'
+@query("""SELECT n_name, p.o_orderpriority, count(o.o_orderkey) AS n FROM nation CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p LEFT JOIN customer ON c_nationkey = n_nationkey
 LEFT JOIN orders o ON o.o_custkey = c_custkey AND o.o_orderpriority = p.o_orderpriority GROUP BY 1, 2""")
 def category_counts_zero_filled(spark, d):
-    """Counts of every nation and priority; those that never occur are zero, from two small dimensions."""
-    o = load(spark, d, "orders").join(load(spark, d, "customer").where("c_mktsegment = 'HOUSEHOLD'").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")), "o_custkey")
-    counts = o.groupBy("n_nationkey", "o_orderpriority").agg(F.count("*").alias("n"))
-    kinds = load(spark, d, "orders").agg(F.collect_set("o_orderpriority").alias("ps"))
-    grid = load(spark, d, "nation").select("n_nationkey", "n_name", F.lit(1).alias("_k")).join(kinds.withColumn("_k", F.lit(1)), "_k").select("n_nationkey", "n_name", F.explode("ps").alias("o_orderpriority"))
-    return grid.join(counts, ["n_nationkey", "o_orderpriority"], "left").select("n_name", "o_orderpriority", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    """Counts of every nation and priority over all customers; those that never occur are zero."""
+    o = load(spark, d, "orders").join(load(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")), "o_custkey")
+    kinds = sorted(r[0] for r in load(spark, d, "orders").select("o_orderpriority").distinct().limit(100).collect())
+    return ranking.counts_zero_filled(load(spark, d, "nation").select("n_nationkey", "n_name"), o, "n_nationkey", "o_orderpriority", kinds).select("n_name", "o_orderpriority", "n")
 
 
 @query("SELECT regexp_extract(url, '^https?://([^/]+)', 1) AS host, count(*) AS n_files, sum(octet_length(encode(html)))::BIGINT AS n_bytes, max(length(html))::BIGINT AS longest FROM pages GROUP BY 1")
 def file_stats(spark, d):
-    return load(spark, d, "pages").groupBy(F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host")).agg(F.count("*").alias("n_files"), F.sum(F.octet_length("html")).cast("long").alias("n_bytes"), F.max(F.length("html")).cast("long").alias("longest"))
+    return ranking.file_statistics(load(spark, d, "pages"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), "html")
 
 
 COVER = {"secret": "token = ", "contact": "@mail", "number": "555-"}
@@ -476,7 +472,7 @@ def coverage_audit(spark, d):
 @query("SELECT lang, count(*) FILTER (n_chars < 1000) AS short, count(*) FILTER (n_chars BETWEEN 1000 AND 4999) AS middle, count(*) FILTER (n_chars >= 5000) AS long FROM documents GROUP BY 1")
 def state_matrix(spark, d):
     size = F.when(F.col("n_chars") < 1000, "short").when(F.col("n_chars") < 5000, "middle").otherwise("long")
-    return load(spark, d, "documents").withColumn("size", size).groupBy("lang").pivot("size", ["short", "middle", "long"]).count().fillna(0)
+    return ranking.state_matrix(load(spark, d, "documents").withColumn("size", size), "lang", "size", ["short", "middle", "long"])
 
 
 @query("""SELECT n_name, CASE WHEN count(s_suppkey) > 0 THEN max(CAST(s_acctbal AS DECIMAL(18,2))) END AS best, count(s_suppkey) AS n, row_number() OVER (ORDER BY CASE WHEN count(s_suppkey) > 0 THEN max(CAST(s_acctbal AS DECIMAL(18,2))) END DESC NULLS LAST, count(s_suppkey) DESC, n_name)::INT AS rank
@@ -492,9 +488,7 @@ def leaderboard_rank(spark, d):
 @query("""WITH c AS (SELECT source, lang, count(*) AS n FROM documents GROUP BY 1, 2), t AS (SELECT source, sum(n) AS total FROM c GROUP BY 1)
 SELECT source, lang AS dominant, n::BIGINT AS n, 5 * n >= 4 * total AS warns FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS r FROM c) JOIN t USING (source) WHERE r = 1""")
 def dominant_value(spark, d):
-    c = load(spark, d, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
-    best = F.min(F.struct((-F.col("n")).alias("n"), "lang")).alias("b")
-    return c.groupBy("source").agg(best, F.sum("n").alias("total")).select("source", F.col("b.lang").alias("dominant"), (-F.col("b.n")).alias("n"), (-5 * F.col("b.n") >= 4 * F.col("total")).alias("warns"))
+    return ranking.dominant_value(load(spark, d, "documents"), "source", "lang")
 
 
 @query("""SELECT 'both' AS part, l_returnflag, l_linestatus, l_linenumber, count(*) AS n FROM (SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey % 2 = 0 INTERSECT ALL SELECT l_returnflag, l_linestatus, l_linenumber FROM lineitem WHERE l_orderkey % 3 = 0) GROUP BY ALL

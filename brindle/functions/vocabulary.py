@@ -112,3 +112,41 @@ ITEM_LABEL = r"^\s*(?:[（(]?\d+[）).、．:]|[①②③④⑤⑥⑦⑧⑨⑩]|
 SECTION_WEIGHTS = {"summary": 20.0, "detailed_conclusion": 15.0, "recommendations": 20.0, "defects": 30.0, "causes": 5.0, "treatments": 5.0, "safety_impact": 5.0}
 DEFECT_FIELDS = ("location", "defect_type", "description", "is_new", "previous_status", "development")
 RECOMMENDATION_FIELDS = ("category", "content", "location")
+
+# Headers of defect tables by field; the short ones count only as the whole header.
+DEFECT_HEADERS = (
+    ("index", ("序号", "编号", "病害编号", "缺陷编号", "病害序号", "缺陷序号")), ("location", ("病害部位", "病害位置", "缺陷位置", "所在部位", "部位", "位置")),
+    ("defect_type", ("病害类型", "病害种类", "缺陷类型", "病害名称", "缺陷名称", "类型")), ("description", ("病害描述", "缺陷描述", "具体描述", "具体位置", "病害情况", "病害特征", "病害内容", "描述")),
+    ("is_new", ("是否新增", "新增情况", "是否新病害", "新旧")), ("previous_status", ("上一次定检状态", "历史状态", "上次状态", "既有病害状态", "既往状态")), ("development", ("发展程度", "发展趋势", "病害发展", "变化趋势", "发展")),
+)
+EXACT_HEADERS = ("序号", "编号", "部位", "位置", "类型", "描述", "具体位置", "发展", "新旧")
+
+# What a defect is called, states that are none, and rows that hold no defect.
+DEFECT_TERMS = (
+    "无泄水孔及排水设施", "无泄水孔", "无排水设施", "渗水泛碱", "裂缝修补", "露筋锈蚀", "混凝土破损", "裂缝", "破损", "损坏", "渗水", "漏水", "锈蚀", "露筋", "剥落", "脱空", "堵塞", "缺失", "变形", "沉降", "错台", "老化",
+    "松动", "开裂", "腐蚀", "离析", "不密实", "磨损", "泛碱", "风化", "下挠", "冲刷", "积水", "淤积", "残缺", "坑槽", "麻面", "蜂窝", "胀模", "脱落", "网裂", "车辙", "未设置", "外倾", "掏空", "坑洼", "长草", "堆积", "推积", "覆盖",
+    "凸起", "突起", "外鼓", "滑痕", "刮痕", "划痕", "烟熏", "断裂", "拆除", "被拆", "高差", "变窄", "错位", "纵裂", "横裂", "斜裂", "竖裂", "漏浆", "空洞", "缺角", "积土", "积淤", "锈胀", "跳车", "龟裂", "磨光", "露骨", "坑洞", "不饱满",
+    "抵死", "抵拢", "杂物", "垃圾", "杂草丛生", "模板未拆",
+)
+NO_DEFECT = ("无病害", "无明显病害", "未发现明显", "未发现病害", "未见明显病害", "未见病害")
+FORMAL_STATES = ("修补", "现状", "加固", "碳纤维", "遮掩", "外观")
+CAPTION = r"^(?:照片|照|图|附图|表)\s*[0-9一二三四五六七八九十百千]+(?:[.\-][0-9一二三四五六七八九十百千]+)*"
+FIGURE = r"(?:照片|照|图|附图|表)\s*([0-9一二三四五六七八九十百千]+(?:[.\-][0-9一二三四五六七八九十百千]+)*)"
+UNIT_ROW = r"^(?:单位|备注|注|说明|数量|表注)(?:[:：][^，。；;]{0,30})?$"
+PLACEHOLDER = r"^(?:[-—–/…·．.]+|无|空白|空|无病害|无缺陷|未发现病害|未发现缺陷|本(?:表|页)(?:无|未发现)(?:病害|缺陷)?|以下空白|（以下空白）|本表无病害|本页无病害|无内容|暂无)$"
+SIDES = ("左幅", "右幅", "左侧", "右侧")
+
+# Structural components by the words of their parts, in the order that settles ties.
+COMPONENT_TERMS = (
+    ("上部结构", ("上部结构", "主梁", "梁", "板", "翼板", "腹板", "横隔", "铰缝", "索", "桥面板")), ("下部结构", ("下部结构", "桥墩", "墩", "桥台", "台帽", "台身", "盖梁", "支座", "基础", "挡块")),
+    ("桥面系", ("桥面系", "桥面", "铺装", "路面", "伸缩缝", "护栏", "栏杆", "排水", "泄水", "人行道", "路缘")), ("主体结构", ("主体结构", "顶板", "侧墙", "墙体", "底板", "衬砌", "洞口", "翼墙")), ("附属设施", ("附属设施", "栏杆", "扶手", "照明", "标志", "排水")),
+)
+LOCATION_TOKEN = r"(?i)(?:左幅|右幅)?\d+#(?:跨|墩|台|缝|支座|梁|板)|(?:距)?\d+#(?:伸缩缝|墩|台)|K\d+(?:\+\d+)?"
+
+# Labels of summary fields (the usual ones; callers add theirs).
+SUMMARY_LABELS = (
+    ("bridge_name", ("桥梁名称", "桥名", "工程名称", "设施名称", "项目名称")), ("bridge_id", ("桥梁编号", "桥梁ID")), ("report_date", ("报告日期", "出具日期", "签发日期")), ("inspection_date", ("检测日期", "检验日期", "检查日期", "检测时间")),
+    ("overall_score", ("总体评分", "总体技术状况评分")), ("overall_grade", ("总体等级", "总体技术状况等级")),
+)
+MAY_BE_BLANK = ("bridge_id", "previous_overall_score", "previous_overall_grade")
+NAME_NOISE = ("检测项目", "检测类别", "委托检测", "外观检查", "专项检测", "结构验算", "荷载试验")

@@ -22,7 +22,7 @@ x AS (SELECT *, {PRF} FROM c), s AS (SELECT *, round_even(f1 * {WEIGHT_SQL}, 6)
 
 def _scores(spark, d):
     five, three = F.col("l_partkey") % 5 == 0, F.col("l_partkey") % 3 == 0
-    x = load(spark, d, "lineitem").select((F.col("l_suppkey") % 40).alias("sample"), SECTION.alias("section"), (~three & ~five).alias("a"), (three & ~five).alias("b"), five.alias("c"))
+    x = load(spark, d, "lineitem").select((F.col("l_suppkey") % 40).alias("sample"), SECTION().alias("section"), (~three & ~five).alias("a"), (three & ~five).alias("b"), five.alias("c"))
     counts = x.groupBy("sample", "section").agg(F.count_if("a").alias("tp"), F.count_if("b").alias("fp"), F.count_if("c").alias("fn"))
     return scoring.section_scores(counts, "sample", "section")
 
@@ -184,7 +184,7 @@ def consistency_issues(spark, d):
     later = F.get(F.array(*[F.lit(x) for x in EXTRA]), F.expr("cast((o_custkey + 3) % 8 as int)"))
     r = f.join(_summaries(spark, d), "o_custkey").select(
         "o_custkey", F.when(F.col("o_custkey") % 3 == 0, F.col("line")).otherwise(F.concat(F.lit("x"), "line")).alias("recommendations_summary"), F.col("line").alias("expected_summary"), F.left("notes", F.lit(300)).alias("overall_conclusion"), F.col("note").alias("risk_points"),
-        F.array("note", MORE).alias("detailed"), F.array().cast("array<string>").alias("causes"), F.array(later, F.col("note")).alias("safety"), (F.col("n0") + F.col("n1") + F.col("n2")).alias("n_rows"), (F.col("o_custkey") % 4).alias("n_blank"),
+        F.array("note", MORE()).alias("detailed"), F.array().cast("array<string>").alias("causes"), F.array(later, F.col("note")).alias("safety"), (F.col("n0") + F.col("n1") + F.col("n2")).alias("n_rows"), (F.col("o_custkey") % 4).alias("n_blank"),
     )
     return quality.consistency_issues(r, ["o_custkey"])
 
@@ -212,8 +212,8 @@ AND NOT (kind = 'label' AND q_split IN ('fit', 'holdout') AND coalesce(split, ''
 
 def _retrieval(spark, d, **kw):
     e, v = load(spark, d, "embeddings"), F.col("vec_id")
-    index = e.select(v.alias("entry_id"), pick(KINDS, "label")[0].alias("kind"), (v % 20).alias("sample_id"), F.when(v % 3 == 0, "fit").when(v % 3 == 1, "holdout").alias("split"), pick(("bridge", "", "Tunnel"), "vec_id")[0].alias("facility"), "embedding")
-    queries = e.where(v % 50 == 0).select(v.alias("query_id"), (v % 20).alias("q_sample"), pick(("fit", "holdout", ""), "vec_id div 50")[0].alias("q_split"), F.col("embedding").alias("query_embedding"))
+    index = e.select(v.alias("entry_id"), pick(KINDS, "label")[0]().alias("kind"), (v % 20).alias("sample_id"), F.when(v % 3 == 0, "fit").when(v % 3 == 1, "holdout").alias("split"), pick(("bridge", "", "Tunnel"), "vec_id")[0]().alias("facility"), "embedding")
+    queries = e.where(v % 50 == 0).select(v.alias("query_id"), (v % 20).alias("q_sample"), pick(("fit", "holdout", ""), "vec_id div 50")[0]().alias("q_split"), F.col("embedding").alias("query_embedding"))
     admit = retrieval.admits(F.col("facility"), F.array(F.lit("bridge")), F.col("kind"), F.col("sample_id"), F.col("q_sample"), F.col("split"), F.col("q_split")) & (F.col("entry_id") != F.col("query_id"))
     return retrieval.retrieve(index, queries, admit, **kw)
 
@@ -244,7 +244,7 @@ def retrieve_reranked(spark, d):
 @query("""SELECT vec_id AS entry_id FROM embeddings WHERE NOT (label % 3 = 1 AND vec_id % 20 = 4) AND (label % 3 <> 1 OR vec_id % 3 = 0) AND vec_id % 13 <> 0""")
 def index_entries(spark, d):
     v = F.col("vec_id")
-    e = load(spark, d, "embeddings").select(v.alias("entry_id"), pick(KINDS, "label")[0].alias("kind"), (v % 20).cast("string").alias("sample_id"), F.when(v % 3 == 0, "fit").when(v % 3 == 1, "holdout").alias("split"), F.when(v % 13 == 0, " ").otherwise("text").alias("text"))
+    e = load(spark, d, "embeddings").select(v.alias("entry_id"), pick(KINDS, "label")[0]().alias("kind"), (v % 20).cast("string").alias("sample_id"), F.when(v % 3 == 0, "fit").when(v % 3 == 1, "holdout").alias("split"), F.when(v % 13 == 0, " ").otherwise("text").alias("text"))
     return retrieval.buildable(e, "4", True).select("entry_id")
 
 

@@ -405,19 +405,22 @@ def _top_cosine(spark, d, admit, k=6, index=None):
     return hits.select("query_id", F.col("entry_id").alias("vec_id"), "label", F.round("score", 6).alias("score"), "rank")
 
 
+def _other():
+    return F.col("entry_id") != F.col("query_id")
+
+
 COSINE = """SELECT q.vec_id AS query_id, c.vec_id, c.label, q.label AS query_label, list_inner_product(q.e, c.e) / (sqrt(list_inner_product(q.e, q.e)) * sqrt(list_inner_product(c.e, c.e))) AS s
 FROM (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings) q JOIN (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings) c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id"""
-OTHER = F.col("entry_id") != F.col("query_id")
 
 
 @query(f"WITH s AS ({COSINE}) SELECT query_id, vec_id, round(s, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id)::INT AS rank FROM s QUALIFY rank <= 6")
 def cosine_topk(spark, d):
-    return _top_cosine(spark, d, OTHER).drop("label")
+    return _top_cosine(spark, d, _other()).drop("label")
 
 
 @query(f"WITH s AS ({COSINE}) SELECT query_id, vec_id, round(s, 6) AS score, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id)::INT AS rank FROM s WHERE vec_id % 2 = 1 AND label <> query_label QUALIFY rank <= 6")
 def cosine_topk_filtered(spark, d):
-    return _top_cosine(spark, d, OTHER & (F.col("label") != F.col("query_label")), index="entry_id % 2 = 1").drop("label")
+    return _top_cosine(spark, d, _other() & (F.col("label") != F.col("query_label")), index="entry_id % 2 = 1").drop("label")
 
 
 @query(f"""WITH s AS ({COSINE}), t AS (SELECT *, CASE WHEN label % 3 = 0 THEN 'knowledge' WHEN label % 3 = 1 THEN 'label' ELSE 'report' END AS source FROM s),
@@ -429,7 +432,7 @@ def retrieve_quota_fallback(spark, d):
     kind = F.get(F.array(F.lit("knowledge"), F.lit("label"), F.lit("report")), F.col("label") % 3)
     index = e.select(F.col("vec_id").alias("entry_id"), "embedding", kind.alias("kind"))
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_embedding"))
-    out = retrieval.retrieve(index, q, OTHER, top_k=6, quotas={"knowledge": 3, "label": 2, "report": 1})
+    out = retrieval.retrieve(index, q, _other(), top_k=6, quotas={"knowledge": 3, "label": 2, "report": 1})
     return out.select("query_id", F.col("entry_id").alias("vec_id"), F.col("kind").alias("source"), F.round("score", 6).alias("score"), "rank")
 
 

@@ -15,8 +15,8 @@ def quoted(words) -> str:
 
 
 def pick(words, key: str):
-    """One of the words, by a whole number: as a Spark column, and as SQL."""
-    return F.get(F.array(*[F.lit(w) for w in words]), F.expr(f"cast(({key}) % {len(words)} as int)")), f"[{quoted(words)}][({key}) % {len(words)} + 1]"
+    """One of the words, by a whole number: as a function that makes a Spark column, and as SQL."""
+    return lambda: F.get(F.array(*[F.lit(w) for w in words]), F.expr(f"cast(({key}) % {len(words)} as int)")), f"[{quoted(words)}][({key}) % {len(words)} + 1]"
 
 
 def has(x: str, words) -> str:
@@ -52,7 +52,7 @@ r AS (SELECT * FROM r0 t WHERE NOT is_table OR NOT EXISTS (SELECT 1 FROM r0 p WH
 
 def _blocks(spark, d):
     lv = F.expr("CASE o_orderkey % 9 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 0 END")
-    x = load(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("pos"), BODY.alias("text"), (F.col("o_orderkey") % 6 == 4).alias("is_table"), lv.alias("heading_level"), STYLE.alias("style"))
+    x = load(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("pos"), BODY().alias("text"), (F.col("o_orderkey") % 6 == 4).alias("is_table"), lv.alias("heading_level"), STYLE().alias("style"))
     return routing.candidates(x)
 
 
@@ -138,7 +138,7 @@ def budget_sql(xs: str, cap: int, total: int, least: int, most: int, glue: int =
 
 
 def _notes(spark, d):
-    return load(spark, d, "orders").select("o_orderkey", "o_custkey", F.concat(*[c for c, _ in NOTE]).alias("note"))
+    return load(spark, d, "orders").select("o_orderkey", "o_custkey", F.concat(*[c() for c, _ in NOTE]).alias("note"))
 
 
 NOTES_SQL = f"n AS (SELECT o_orderkey, o_custkey, {NOTE_SQL} AS note FROM orders), s0 AS (SELECT *, {SENTENCES('note')} AS s1 FROM n), s AS (SELECT *, {distinct_sql('s1')} AS ss FROM s0)"
@@ -166,7 +166,7 @@ LISTED = lambda extra: f"list_filter(list_transform(vs, lambda v: trim({DISPLAY(
 @query(f"""WITH n AS (SELECT o_orderkey, [{", ".join(s for _, s in NOTE)}] AS vs FROM orders), l AS (SELECT o_orderkey, {LISTED("")} AS dl, {LISTED(f" AND regexp_matches(x, '{V.CAUSE_PHRASE}')")} AS cl, {LISTED(f" AND NOT {has('x', V.ACTIONS)} AND {has('x', V.CONSEQUENCES)}")} AS sl FROM n)
 SELECT o_orderkey, array_to_string(list_transform({budget_sql("dl", 520, 900, 30, 4, 0, False)}, lambda x: x || '。'), '|') AS detailed, array_to_string(list_transform(cl[1:4], lambda x: x || '。'), '|') AS causes, array_to_string(list_transform(sl[1:4], lambda x: x || '。'), '|') AS safety FROM l""")
 def statement_lists(spark, d):
-    x = load(spark, d, "orders").select("o_orderkey", F.array(*[c for c, _ in NOTE]).alias("vs"))
+    x = load(spark, d, "orders").select("o_orderkey", F.array(*[c() for c, _ in NOTE]).alias("vs"))
     return x.select("o_orderkey", *[F.array_join(R.text_list(F.col("vs"), k), "|").alias(n) for n, k in (("detailed", "detailed"), ("causes", "cause"), ("safety", "safety"))])
 
 
@@ -195,7 +195,7 @@ c AS (SELECT o_orderkey, w, list_transform(ps, lambda x: CASE WHEN regexp_matche
   ELSE trim(regexp_extract(x, '：\\s*(.*)$', 1), '：{EDGE}') END, ',', '、') END ELSE replace(x, ',', '、') END) AS cs FROM p)
 SELECT o_orderkey, CASE WHEN w IN ('', '无', '暂无', '不适用') OR len(cs) = 0 THEN w ELSE array_to_string({distinct_sql("cs")}, '；') END AS trend FROM c""")
 def trend_clauses(spark, d):
-    return load(spark, d, "orders").select("o_orderkey", R.trend(TREND).alias("trend"))
+    return load(spark, d, "orders").select("o_orderkey", R.trend(TREND()).alias("trend"))
 
 
 SHOWN = ("主梁底板 裂缝L=2m（单位：mm）", "支座锈蚀，见照片3-12", "伸缩缝堵塞； 图5、图6", "1、裂缝/渗水", "（2）露筋,锈蚀＋剥落", "③ 清理排水孔", "十二、更换支座", "墩身\u3000蜂窝  麻面。", "裂缝，详见图 3.2和图3.3。", "护栏缺失 见附图二")
@@ -207,7 +207,7 @@ FIG = rf"[，,；;。\s]+(详见|参见|见)?\s*{V.FIGURE_WORD}\s*{V.FIGURE_NO}(
 SELECT p_partkey, trim(regexp_replace(trim(regexp_replace(x, '{V.UNIT_NOTE}', ''), '{EDGE}'), '{FIG}', ''), '{EDGE}') AS description, trim(regexp_replace(x, '{V.UNIT_NOTE}', ''), '{EDGE}') AS with_figures,
 trim(regexp_replace(regexp_replace(x, '\\s*[,，/＋+]\\s*', '、', 'g'), '、+', '、', 'g'), '、{EDGE}') AS kinds, trim(regexp_replace(x, '{V.ITEM_LABEL}', '')) AS item FROM d""")
 def display_forms(spark, d):
-    x = load(spark, d, "part").select("p_partkey", CELL.alias("x"))
+    x = load(spark, d, "part").select("p_partkey", CELL().alias("x"))
     return x.select("p_partkey", R.description(F.col("x")).alias("description"), R.description(F.col("x"), F.lit(True)).alias("with_figures"), R.defect_type(F.col("x")).alias("kinds"), R.item_text(F.col("x")).alias("item"))
 
 
@@ -220,25 +220,25 @@ FILE, FILE_SQL = pick(FILES, "s_suppkey")
 @query(f"""WITH k AS (SELECT s_suppkey, trim(regexp_replace({FILE_SQL}, '[\\s\u00a0]+', ' ', 'g')) AS f FROM supplier), e AS (SELECT *, regexp_replace(f, '([ _．。-]*({"|".join(V.LABEL_ENDINGS)}))+$', '') AS g FROM k)
 SELECT s_suppkey, regexp_replace(lower(CASE WHEN g <> f THEN trim(g, ' -_．。') ELSE f END), '[^0-9a-z\u4e00-\u9fff]+', '', 'g') AS key FROM e""")
 def file_name_key(spark, d):
-    return load(spark, d, "supplier").select("s_suppkey", R.name_key(FILE).alias("key"))
+    return load(spark, d, "supplier").select("s_suppkey", R.name_key(FILE()).alias("key"))
 
 
 @query(f"""WITH c AS (SELECT s_suppkey, regexp_replace(trim({FILE_SQL}), '^(\\./)+', '') AS p FROM supplier), n AS (SELECT *, string_split(p, '/') AS ps FROM c), m AS (SELECT *, ps[-1] AS name, CASE WHEN length(ps[-1]) > 1 THEN regexp_replace(ps[-1], '(.)\\.[^.]*$', '\\1') ELSE ps[-1] END AS stem FROM n)
 SELECT s_suppkey, array_to_string(list_transform(list_filter(list_zip(l, range(len(l))), lambda q: list_position(l, q[1]) = q[2] + 1), lambda q: q[1]), '|') AS names FROM (SELECT s_suppkey, [p, name, stem, CASE WHEN len(ps) > 1 THEN ps[-2] || '/' || stem ELSE stem END] AS l FROM m)""")
 def file_aliases(spark, d):
-    return load(spark, d, "supplier").select("s_suppkey", F.array_join(R.aliases(FILE), "|").alias("names"))
+    return load(spark, d, "supplier").select("s_suppkey", F.array_join(R.aliases(FILE()), "|").alias("names"))
 
 
 @query(f"""SELECT s_suppkey, CASE {" ".join(f"WHEN ends_with(x, '{r}') THEN '{r}/{t}/{n}'" for r, t, n in V.FACILITIES)} ELSE '//' END AS facility FROM (SELECT s_suppkey, {COMPACT(f"regexp_replace({FILE_SQL}, '(检测|信息提取)?报告.*$', '')")} AS x FROM supplier)""")
 def facility_semantics(spark, d):
-    f = R.facility(F.regexp_replace(FILE, "(检测|信息提取)?报告.*$", ""))
+    f = R.facility(F.regexp_replace(FILE(), "(检测|信息提取)?报告.*$", ""))
     return load(spark, d, "supplier").select("s_suppkey", F.concat_ws("/", f["raw_type"], f["type"], f["noun"]).alias("facility"))
 
 
 @query(f"""WITH f AS (SELECT s_suppkey, regexp_extract_all({FILE_SQL}, '原\\s*([A-Ea-e一二三四五六])', 1)[-1] AS p, regexp_extract_all({FILE_SQL}, '现\\s*([A-Ea-e一二三四五六])', 1)[-1] AS c FROM supplier)
 SELECT s_suppkey, upper(p) || CASE WHEN regexp_matches(upper(p), '^[A-E]$') THEN '级' ELSE '类' END AS previous, upper(c) || CASE WHEN regexp_matches(upper(c), '^[A-E]$') THEN '级' ELSE '类' END AS current FROM f""")
 def filename_grades(spark, d):
-    g = R.filename_grades(FILE)
+    g = R.filename_grades(FILE())
     return load(spark, d, "supplier").select("s_suppkey", g["previous"].alias("previous"), g["current"].alias("current"))
 
 
@@ -250,7 +250,7 @@ FIELD, FIELD_SQL = pick(("overall_score", "overall_grade", "defect_type"), "c_cu
 @query(f"""WITH v AS (SELECT c_custkey, {FIELD_SQL} AS f, {COMPACT(VALUE_SQL)} AS x FROM customer)
 SELECT c_custkey, CASE WHEN ends_with(f, '_score') THEN CASE regexp_replace(x, '分$', '') WHEN '087.060' THEN '87.06' WHEN '+3.' THEN '3' ELSE regexp_replace(x, '分$', '') END WHEN ends_with(f, '_grade') THEN upper(regexp_replace(x, '[级类]$', '')) ELSE regexp_replace(lower(x), '[^\\p{{L}}\\p{{N}}]+', '', 'g') END AS value FROM v""")
 def canonical_values(spark, d):
-    return load(spark, d, "customer").select("c_custkey", R.canonical_value(FIELD, VALUE).alias("value"))
+    return load(spark, d, "customer").select("c_custkey", R.canonical_value(FIELD(), VALUE()).alias("value"))
 
 
 GRADE, GRADE_SQL = pick(("B级", "三类", "", "d 级"), "c_custkey")
@@ -260,7 +260,7 @@ CSCORE = "CAST(c_acctbal AS DECIMAL(18,2)) / 100"
 @query(f"""SELECT c_custkey, CASE WHEN ends_with({COMPACT(GRADE_SQL)}, '类') OR c_custkey % 3 = 0 THEN {GRADE_SQL} ELSE CASE WHEN {CSCORE} >= 90 THEN 'A' WHEN {CSCORE} >= 80 THEN 'B' WHEN {CSCORE} >= 70 THEN 'C' WHEN {CSCORE} >= 60 THEN 'D' ELSE 'E' END || '级' END AS grade FROM customer""")
 def grade_by_mode(spark, d):
     score = (F.col("c_acctbal").cast("decimal(18,2)") / 100).cast("decimal(18,6)")
-    return load(spark, d, "customer").select("c_custkey", R.grade_by_mode(score, GRADE, F.col("c_custkey") % 3 != 0).alias("grade"))
+    return load(spark, d, "customer").select("c_custkey", R.grade_by_mode(score, GRADE(), F.col("c_custkey") % 3 != 0).alias("grade"))
 
 
 # ---- recommendations
@@ -278,7 +278,7 @@ NAMED_SQL = lambda x: f"list_filter([{', '.join(f'''CASE WHEN contains(replace({
 
 
 def _advice(spark, d):
-    return load(spark, d, "orders").select("o_orderkey", "o_custkey", WORDS_.alias("x"), HINT.alias("h"))
+    return load(spark, d, "orders").select("o_orderkey", "o_custkey", WORDS_().alias("x"), HINT().alias("h"))
 
 
 @query(f"SELECT o_orderkey, {INFER_SQL} AS category FROM (SELECT o_orderkey, {WORDS_SQL} AS x FROM orders)")

@@ -123,15 +123,17 @@ def ftrl(rows: list[tuple[int, bytes, bytes]], bits: int = BITS, epochs: int = 3
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
     """Learns from at most ``sample`` labelled texts whose ids are not held out.
 
-    An id that many rows bear gives many texts; the least by hash stay, so the driver never gets more than ``sample`` rows.
+    An id that many rows bear gives many texts: where they are more than ``sample``, the least by hash stay, so the driver
+    never gets more rows than that.  Counting them reads the ids alone.
     """
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     drawn = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
     kind = docs.schema["doc_id"].dataType.simpleString()
     met = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     rows = met.mapInArrow(collect_features(bits), f"doc_id {kind}, y int, idx binary, val binary")
-    bounded = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", F.xxhash64("idx", "val")).limit(sample)
-    got = sorted(bounded.collect(), key=lambda r: (hash_order(r["doc_id"]), str(r["doc_id"]), r["y"], bytes(r["idx"])))
+    if docs.select("doc_id").join(F.broadcast(drawn), "doc_id").count() > sample:
+        rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", F.xxhash64("idx", "val")).limit(sample)
+    got = sorted(rows.collect(), key=lambda r: (hash_order(r["doc_id"]), str(r["doc_id"]), r["y"], bytes(r["idx"])))
     return ftrl([(r["y"], bytes(r["idx"]), bytes(r["val"])) for r in got], bits)
 
 

@@ -63,16 +63,18 @@ def without_figures(x: Column) -> Column:
     return F.regexp_replace(F.coalesce(x, F.lit("")), V.FIGURE, "")
 
 
-def row_issue(index: Column, location: Column, kind: Column, description: Column, repeated_header: Column, ambiguous: Column) -> Column:
+def row_issue(index: Column, location: Column, kind: Column, description: Column, repeated_header: Column, ambiguous: Column, own: Column | None = None) -> Column:
     """Why a row is no defect: placeholder, repeated_header, photo_caption, unit_or_placeholder or non_defect_state; null for a defect.
 
-    A row under ambiguous headers is kept for review rather than judged by its words.
+    A row under ambiguous headers is kept for review rather than judged by its words.  ``own`` lists the row's own texts, before
+    any were taken from above; a row of placeholders only is none, whatever it took.
     """
     t = lambda c: F.trim(F.coalesce(c, F.lit("")))
     i, place, k, d = t(index), t(location), t(kind), t(description)
     whole = F.concat(i, place, k, d)
     caption = i.rlike(V.CAPTION) & ((d == "") | (d == i))
-    layout = (whole != "") & (whole.rlike(V.UNIT_ROW) | whole.rlike(V.PLACEHOLDER))
+    empty = lambda x: x.rlike(V.UNIT_ROW) | x.rlike(V.PLACEHOLDER)
+    layout = (whole != "") & empty(whole) if own is None else (F.size(own) > 0) & F.forall(own, empty)
     both = F.trim(F.concat_ws(" ", k, d))
     formal = k.isin(*V.FORMAL_STATES)
     concrete = F.when((both == "") | k.rlike(V.PLACEHOLDER), False).when(contains_any(both, V.NO_DEFECT), contains_any(k, V.DEFECT_TERMS) | formal).otherwise(contains_any(both, V.DEFECT_TERMS) | formal)

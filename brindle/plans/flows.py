@@ -47,9 +47,10 @@ def extract_defects(prepared_: DataFrame) -> DataFrame:
     fields = [f for f, _ in V.DEFECT_HEADERS]
     rows = defects.carried_columns(cells, heads, table, "row_index", "column_index", "column_span", "cell").groupBy(*table, "row_index").pivot("field", fields).agg(F.first("cell"))
     rows = rows.select(*table, "row_index", *[F.nullif(F.trim(f), F.lit("")).alias(f) for f in fields])
+    rows = rows.withColumn("own", F.array_compact(F.array(*fields)))
     rows = sequence.forward_fill(rows, table, ["row_index"], ["index", "location", "defect_type"]).fillna("", fields)
     no = F.lit(False)
-    valid = rows.where(defects.row_issue(F.col("index"), F.col("location"), F.col("defect_type"), F.col("description"), no, no).isNull())
+    valid = rows.where(defects.row_issue(F.col("index"), F.col("location"), F.col("defect_type"), F.col("description"), no, no, F.col("own")).isNull()).drop("own")
     sided = valid.withColumn("location", defects.with_side(F.col("location"), F.col("description"), F.lit("")))
     at = F.struct("block_index", "row_index")
     kept = defects.distinct_observations(sided.withColumn("anchor", at), DOC, ["block_index", "row_index"], "location", "defect_type", "description", "anchor")

@@ -196,8 +196,8 @@ def test_records(spark, folder):
     assert len(got) == 5 and got["bad.docx"].status == "failed" and got["empty.docx"].status == "succeeded" and not got["empty.docx"].defects
     r = next(v for k, v in got.items() if v.defects)
     assert {k: r.summary[k] for k in ("bridge_name", "report_date", "overall_score", "overall_grade", "bridge_id")} == {"bridge_name": "东湖大桥", "report_date": "2021年3月5日", "overall_score": "87.5", "overall_grade": "B级", "bridge_id": "D-12"}
-    assert [(d.index, d.location, d.defect_type, d.description) for d in r.defects] == [("1", "左侧主梁", "裂缝", "左侧裂缝L=2m"), ("1", "主梁", "裂缝", "渗水泛碱"), ("2", "桥墩", "露筋", "露筋锈蚀")]
-    assert [(x.index, x.category, x.content) for x in r.recommendations] == [(1, "立即处置", "立即修复栏杆并设置警示"), (2, "预防性养护", "加强日常观测")]
+    assert [(d["index"], d.location, d.defect_type, d.description) for d in r.defects] == [("1", "左侧主梁", "裂缝", "左侧裂缝L=2m"), ("1", "主梁", "裂缝", "渗水泛碱"), ("2", "桥墩", "露筋", "露筋锈蚀")]
+    assert [(x["index"], x.category, x.content) for x in r.recommendations] == [(1, "立即处置", "立即修复栏杆并设置警示"), (2, "预防性养护", "加强日常观测")]
     assert r.summary["recommendations_summary"] == "1条立即处置、0条尽快维修、1条预防性养护"
     assert r.summary["overall_conclusion"].startswith("桥梁总体技术状况为B级") and "建议" not in r.summary["overall_conclusion"]
     assert r.summary["risk_points"] == "栏杆缺失危及行人安全"

@@ -104,10 +104,12 @@ def containing(texts: DataFrame, needles: DataFrame, text_id: str, text: str, ne
     if not sizes:
         return texts.select(text_id).withColumn(needle_id, F.lit(None).cast(needles.schema[needle_id].dataType)).where("1 = 0")
     windows = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - k + 1, F.lit(1))), lambda i: key(F.col("_w"), i, k))
-    grams = texts.select(text_id, text, split(text).alias("_w")).select(text_id, text, F.explode(F.array_distinct(F.concat(*[windows(k) for k in sizes]))).alias("_g"))
+    # Only ids and hashes of windows travel; the texts of hits are fetched afterwards.
+    grams = texts.select(text_id, split(text).alias("_w")).select(text_id, F.explode(F.array_distinct(F.concat(*[windows(k) for k in sizes]))).alias("_g"))
+    hits = grams.join(keyed.select(needle_id, "_a"), F.col("_g") == F.col("_a")).select(text_id, needle_id).distinct()
     padded = lambda c: F.concat(F.lit(" "), F.col(c), F.lit(" "))
-    joined = grams.join(keyed, F.col("_g") == F.col("_a")).where(padded(text).contains(padded(needle)))
-    return joined.select(text_id, needle_id).distinct()
+    met = hits.join(texts.select(text_id, text), text_id).join(needles.select(needle_id, needle), needle_id)
+    return met.where(padded(text).contains(padded(needle))).select(text_id, needle_id).distinct()
 
 
 def greedy_pairs(pairs: DataFrame, sample: str | list[str], gold: str, predicted: str, order: list[Column]) -> DataFrame:

@@ -52,7 +52,7 @@ RULES = (
 )
 
 
-#: Up to so many repeated windows are looked up one by one; more are found by sorting.
+#: Up to so many repeated hashes are looked up one by one; beyond, all windows are sorted.  The count is the same.
 FEW = 32
 
 
@@ -75,18 +75,22 @@ def _neighbours(s: Column, pair) -> Column:
 def repeated_window_words(ws: Column, width: int = 3) -> Column:
     """Words lying in a window of ``width`` words that the text holds twice or more.
 
-    Sorted 64-bit window hashes show which windows repeat; most texts have none and are
-    done.  A few are looked up; where there are many, the windows themselves are
-    sorted with their places.  The work is n log n in the length of the text.
+    Sorted 64-bit window hashes show which windows may repeat; most texts have none and are
+    done.  Windows are then compared word by word, sorted with their places: those with a
+    repeated hash where such hashes are few, else all.  The work is n log n in the length of the text.
     """
     at = F.sequence(F.lit(0), F.size(ws) - width)
     parts = lambda i: [F.get(ws, i + k) for k in range(width)]
     hashes = F.transform(at, lambda i: F.xxhash64(*parts(i)))
     twice = lambda h: F.array_distinct(_neighbours(F.sort_array(h), lambda a, b: F.when(a == b, a)))
     looked_up = lambda h, t: F.filter(F.transform(h, lambda x, i: F.when(F.array_contains(t, x), i)), lambda x: x.isNotNull())
-    windows = F.transform(at, lambda i: F.struct(F.concat_ws(" ", *parts(i)).alias("w"), i.alias("i")))
-    by_sort = let(F.sort_array(windows), lambda s: F.sort_array(F.array_distinct(F.flatten(_neighbours(s, lambda a, b: F.when(a["w"] == b["w"], F.array(a["i"], b["i"])))))))
-    pick = lambda h, t: F.when(F.size(t) == 0, F.lit(0)).when(F.size(t) <= FEW, _covered(looked_up(h, t), width)).otherwise(_covered(by_sort, width))
+
+    def by_words(places: Column) -> Column:
+        windows = F.transform(places, lambda i: F.struct(F.concat_ws(" ", *parts(i)).alias("w"), i.alias("i")))
+        same = lambda s: _neighbours(s, lambda a, b: F.when(a["w"] == b["w"], F.array(a["i"], b["i"])))
+        return _covered(let(F.sort_array(windows), lambda s: F.sort_array(F.array_distinct(F.flatten(same(s))))), width)
+
+    pick = lambda h, t: F.when(F.size(t) == 0, F.lit(0)).when(F.size(t) <= FEW, by_words(looked_up(h, t))).otherwise(by_words(at))
     return F.when(F.size(ws) >= width, let(hashes, lambda h: let(twice(h), lambda t: pick(h, t)))).otherwise(F.lit(0)).cast("long")
 
 

@@ -202,3 +202,15 @@ def test_records(spark, folder):
     assert r.summary["overall_conclusion"].startswith("桥梁总体技术状况为B级") and "建议" not in r.summary["overall_conclusion"]
     assert r.summary["risk_points"] == "栏杆缺失危及行人安全"
     assert {s.kind for s in r.statements} >= {"detailed"}
+
+
+def test_audits(spark):
+    from brindle.operators import audit
+
+    df = spark.createDataFrame([(1, "如下：1、甲；2、乙1.5m。"), (2, None), (3, "无编号"), (4, "①丙②丁")], "id long, t string")
+    assert sorted((r.id, r.place, r.item) for r in audit.split_numbered(df, ["id"], "t").collect()) == [(1, 0, "甲"), (1, 1, "乙1.5m"), (3, 0, "无编号"), (4, 0, "丙②丁")]
+    c = spark.createDataFrame([(1, "a", "x", "table", 1), (1, "a", "y", "text", 1), (1, "b", "无", "text", 2), (1, "c", "无", "text", None), (1, "d", "x", "text", 1), (1, "d", "y", "text", 1)], "id long, field string, value string, kind string, anchor long")
+    got = {r.field: r.state for r in audit.audit_states(c, c.select("id").distinct(), ["id"], ["a", "b", "c", "d", "e"], ["table"]).collect()}
+    assert got == {"a": "extracted", "b": "explicit_none", "c": "missing", "d": "ambiguous", "e": "missing"}
+    s = lambda xs: spark.createDataFrame([(x,) for x in xs], "name string")
+    assert {(r.name, r.issue) for r in audit.name_check(s(["a.docx", "b.docx"]), s(["a.docx", "a.docx", "../c.pdf"]), "name", ".docx").collect()} == {("a.docx", "duplicate"), ("b.docx", "missing"), ("../c.pdf", "unexpected"), ("../c.pdf", "ending"), ("../c.pdf", "unsafe")}

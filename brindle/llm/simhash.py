@@ -32,35 +32,54 @@ WIDTH, DISTANCE = 4, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 
 
-def fingerprint_texts(width: int = WIDTH):
-    """An Arrow mapper that turns column ``text`` into ``fp``, the other columns staying as they are."""
+def hasher(width: int = WIDTH):
+    """A function from the bytes of a text to the hashes of its word shingles, repeats included."""
 
-    def run(batches: Iterator):
+    def of(data: bytes | None):
         from itertools import repeat
 
         import numpy as np
-        import pyarrow as pa
         from xxhash import xxh64_intdigest
 
-        def of(data: bytes | None) -> int:
-            # bytes.lower() changes A-Z only; bytes.split() cuts at space and 09-0D, as words are defined.
-            ws = (data or b"").lower().split()
-            if not ws:
-                return 0
-            joined = b" ".join(ws)
-            ends = np.cumsum(np.fromiter(map(len, ws), np.int64, len(ws)) + 1)
-            starts = (ends - np.fromiter(map(len, ws), np.int64, len(ws)) - 1)[: max(1, len(ws) - width + 1)]
-            stops = (ends - 1)[min(width, len(ws)) - 1 :]
-            h = np.fromiter(map(xxh64_intdigest, [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)], repeat(42)), np.uint64, len(starts))
-            total = np.zeros(64, np.int64)
-            for i in range(0, len(h), 65536):
-                part = h[i : i + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
-                total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-            return int(np.packbits(2 * total > len(h), bitorder="little").view("<i8")[0])
+        # bytes.lower() changes A-Z only; bytes.split() cuts at space and 09-0D, as words are defined.
+        ws = (data or b"").lower().split()
+        if not ws:
+            return np.zeros(0, np.uint64)
+        joined = b" ".join(ws)
+        lengths = np.fromiter(map(len, ws), np.int64, len(ws))
+        ends = np.cumsum(lengths + 1)
+        starts = (ends - lengths - 1)[: max(1, len(ws) - width + 1)]
+        stops = (ends - 1)[min(width, len(ws)) - 1 :]
+        return np.fromiter(map(xxh64_intdigest, [joined[a:b] for a, b in zip(starts.tolist(), stops.tolist(), strict=True)], repeat(42)), np.uint64, len(starts))
+
+    return of
+
+
+def folder():
+    """A function from shingle hashes to the fingerprint, a signed long: the bits set in over half of them."""
+
+    def of(h) -> int:
+        import numpy as np
+
+        total = np.zeros(64, np.int64)
+        for i in range(0, len(h), 65536):
+            part = h[i : i + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
+            total += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        return int(np.packbits(2 * total > len(h), bitorder="little").view("<i8")[0])
+
+    return of
+
+
+def fingerprint_texts(width: int = WIDTH):
+    """An Arrow mapper that turns column ``text`` into ``fp``, the other columns staying as they are."""
+    hashes, fold = hasher(width), folder()
+
+    def run(batches: Iterator):
+        import pyarrow as pa
 
         for b in batches:
             i = b.schema.get_field_index("text")
-            fps = pa.array([of(x) for x in b.column(i).cast(pa.binary()).to_pylist()], pa.int64())
+            fps = pa.array([fold(hashes(x)) for x in b.column(i).cast(pa.binary()).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([c for k, c in enumerate(b.columns) if k != i] + [fps], [n for k, n in enumerate(b.schema.names) if k != i] + ["fp"])
 
     return run
@@ -118,12 +137,12 @@ def links(nodes: DataFrame, distance: int = DISTANCE, apart: DataFrame | None =
     return a.join(b, near).select(F.col("b.fp").alias("u"), F.col("a.fp").alias("v"))
 
 
-def close_stars(nodes: DataFrame) -> DataFrame:
-    """Edges to the smallest fingerprint that agrees in all but one of 16 nibbles: at most 4 bits apart."""
+def close_stars(nodes: DataFrame, of: str = "fp") -> DataFrame:
+    """(u, v): every ``of`` with the smallest one whose fingerprint agrees in all but one of 16 nibbles: at most 4 bits apart."""
     keys = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col("fp").bitwiseAND(F.lit(_long(~(15 << 4 * i) & (1 << 64) - 1))).alias("k")) for i in range(16)]))
-    keyed = nodes.select("fp", keys.alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1")
-    return hot_join(keyed, hubs, "key", "n", 16 * nodes.count()).where("fp <> v").select(F.col("fp").alias("u"), "v").distinct()
+    keyed = nodes.select(F.col(of).alias("u"), keys.alias("key"))
+    hubs = keyed.groupBy("key").agg(F.min("u").alias("v"), F.count("*").alias("n")).where("n > 1")
+    return hot_join(keyed, hubs, "key", "n", 16 * nodes.count()).where("u <> v").select("u", "v").distinct()
 
 
 def cluster(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:

@@ -27,6 +27,8 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies, at five-word similarity 0.8 or more: the smallest id, null last.
 
+    SimHash over five-word shingles proposes them, as in ``simhash``; those beyond the reach of its signatures follow from an
+    exact join; all are verified on their whole shingle sets.
     Null and blank texts are copies of each other; of repeated rows one stays; texts of any length are compared whole; an
     empty table stays empty; further columns, whatever their names, travel along.
     """

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brindle.llm import common, quality_model, secrets
+from brindle.llm import common, quality_model, secrets, shingles
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -154,3 +154,33 @@ def test_stage_of_nothing(spark, tables, k):
     blank = spark.createDataFrame([(1, None, None, None, None), (None, "", None, None, None), (2, " \n", "en", "x", 2), (2, " \n", "en", "x", 2)], DOCS)
     n = stage(spark, blank, tables).count()
     assert n in {0: (0, 4), 1: (1,), 2: (4,), 3: (0,), 4: (4,)}[k]
+
+
+def test_near_duplicates_go_through_fingerprints(spark):
+    """Without any band, SimHash alone draws together what is at most five bits apart and similar."""
+    from xxhash import xxh64_intdigest
+
+    r, rows = random.Random(5), []
+    for g in range(12):
+        ws = prose(1000 + g, 300 + 40 * g).split(" ")
+        for k in range(8):
+            at = set(r.sample(range(len(ws)), k))
+            rows.append((10 * g + k, " ".join(f"x{r.random()}" if i in at else w for i, w in enumerate(ws))))
+    whole = shingles.described(spark.createDataFrame(rows, "doc_id long, text string"))
+    nodes = {x.doc.doc_id: (x.node, x.fp) for x in whole.collect()}
+
+    def plain(text: str) -> int:
+        ws = text.split(" ")
+        hs = [xxh64_intdigest(" ".join(ws[i : i + 5]).encode(), seed=42) for i in range(len(ws) - 4)]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+    fps, sets = {i: plain(t) for i, t in rows}, {i: shingle_set(t) for i, t in rows}
+    assert all(nodes[i][1] % 2**64 == fps[i] for i, _ in rows)
+    roots = {x.node: x.root for x in shingles.groups(whole.withColumn("keys", F.array().cast("array<long>"))).collect()}
+    root = {i: roots.get(n, n) for i, (n, _) in nodes.items()}
+    near = {(i, j): (fps[i] ^ fps[j]).bit_count() for i in fps for j in fps if i < j and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    assert {0, 4, 5} <= {min(d, 6) for d in near.values()} and max(near.values()) > 5
+    for (i, j), d in near.items():
+        if d <= 5:
+            assert root[i] == root[j]
+    assert all(root[i] != root[j] for i in fps for j in fps if i // 10 != j // 10)

@@ -120,12 +120,29 @@ def ftrl(rows: list[tuple[int, bytes, bytes]], bits: int = BITS, epochs: int = 3
     return Model(w.astype(np.float32), float(-zb / ((beta + nb**0.5) / alpha)), bits)
 
 
+def _learn(bits: int):
+    """An Arrow mapper from all rows (doc_id, y, idx, val), in one partition, to one row (weights, bias)."""
+
+    def run(batches: Iterator):
+        import pyarrow as pa
+
+        got = [r for b in batches for r in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True)]
+        got.sort(key=lambda r: (hash_order(r[0]), str(r[0]), r[1], r[2]))
+        model = ftrl([r[1:] for r in got], bits)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias])], ["weights", "bias"])
+
+    return run
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> Model:
     """Learns from at most ``sample`` labelled texts whose ids are not held out.
 
-    An id that many rows bear gives many texts: where they are more than ``sample``, the least by hash stay, so the driver
-    never gets more rows than that.  Counting them reads the ids alone.
+    One task learns from them, and the driver gets the weights alone.  An id that many rows bear gives many texts: where
+    they are more than ``sample``, the least by hash stay, so that task never gets more rows than that.  Counting them
+    reads the ids alone.
     """
+    import numpy as np
+
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
     drawn = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -133,8 +150,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int =
     rows = met.mapInArrow(collect_features(bits), f"doc_id {kind}, y int, idx binary, val binary")
     if docs.select("doc_id").join(F.broadcast(drawn), "doc_id").count() > sample:
         rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "y", F.xxhash64("idx", "val")).limit(sample)
-    got = sorted(rows.collect(), key=lambda r: (hash_order(r["doc_id"]), str(r["doc_id"]), r["y"], bytes(r["idx"])))
-    return ftrl([(r["y"], bytes(r["idx"]), bytes(r["val"])) for r in got], bits)
+    got = rows.repartition(1).mapInArrow(_learn(bits), "weights binary, bias double").first()
+    if got is None:  # no rows, so the plan had no task either
+        return ftrl([], bits)
+    return Model(np.frombuffer(bytes(got["weights"]), np.float32), got["bias"], bits)
 
 
 def hash_order(x) -> int:

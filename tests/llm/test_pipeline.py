@@ -184,3 +184,22 @@ def test_near_duplicates_go_through_fingerprints(spark):
         if d <= 5:
             assert root[i] == root[j]
     assert all(root[i] != root[j] for i in fps for j in fps if i // 10 != j // 10)
+
+
+def test_training_sends_the_driver_weights_only(spark, tables, monkeypatch):
+    docs, labels = spark.read.parquet(f"{tables}/documents.parquet"), common.table(spark, tables, "labels")
+    seen, collect = [], type(docs).collect
+
+    def watched(self):
+        seen.append((got := collect(self)) and max(len(got), len(self.columns)))
+        return got
+
+    monkeypatch.setattr(type(docs), "collect", watched)
+    model = quality_model.train(docs, labels)
+    assert max([0, *seen]) <= 2
+    monkeypatch.undo()
+    usable = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~quality_model.held_out(F.col("doc_id")))
+    rows = docs.join(usable, "doc_id").select("doc_id", "text", F.col("quality").cast("int").alias("y")).mapInArrow(quality_model.collect_features(), "doc_id long, y int, idx binary, val binary").collect()
+    rows.sort(key=lambda x: (quality_model.hash_order(x.doc_id), str(x.doc_id), x.y, bytes(x.idx)))
+    plain = quality_model.ftrl([(x.y, bytes(x.idx), bytes(x.val)) for x in rows])
+    assert len(rows) > 50 and model.bias == plain.bias and (model.weights == plain.weights).all() and model.weights.any()
